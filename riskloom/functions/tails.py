@@ -7,9 +7,16 @@ tested variable), never on data rows.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# tasks get these functions by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _chi_square_tail(x: float, dof: float) -> float:
@@ -75,11 +82,11 @@ def _pairwise(function, left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(values, dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return _pairwise(_chi_square_tail, statistic, dof)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_p(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return _pairwise(_student_two_sided, statistic, dof)

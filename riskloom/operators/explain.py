@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 
 from riskloom.schema import ID
 
+# tasks get these functions by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_GLOBAL = 15
 TOP_LOCAL = 8
 
@@ -106,14 +111,15 @@ def tree_nodes(spark: SparkSession, model: PipelineModel, path: str) -> pd.DataF
     data = spark.read.parquet(f"{path}/data")
     node = "nodeData" if "nodeData" in data.columns else None
     field = (lambda n: F.col(f"{node}.{n}")) if node else F.col
-    stats = field("impurityStats")
+    stats = field("impurityStats").cast("array<double>")
     forest = type(classifier).__name__.startswith("RandomForest")
-    value = F.try_divide(stats[1], stats[0] + stats[1]) if forest else F.try_divide(stats[1], stats[0])
+    whole = F.get(stats, 0) + F.get(stats, 1) if forest else F.get(stats, 0)
+    value = F.try_divide(F.get(stats, 1), whole)
     return data.select(
         F.col("treeID").alias("tree"), field("id").alias("id"), value.alias("value"),
         field("leftChild").alias("left"), field("rightChild").alias("right"),
         field("split.featureIndex").alias("feature"),
-        field("split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get(field("split.leftCategoriesOrThreshold"), 0).alias("threshold"),
         field("split.numCategories").alias("categories"),
     ).orderBy("tree", "id").toPandas()
 

@@ -22,6 +22,7 @@ from riskloom.functions.numbers import micro
 from riskloom.operators.ranking import exact_quantiles
 from riskloom.operators.split import class_weights, part_number
 from riskloom.schema import CATEGORICAL, ID, NUMERIC, TARGET
+from riskloom.session import at_once
 
 SEED = 42
 WEIGHT = "_weight"
@@ -179,12 +180,13 @@ def fit_calibrated(train: DataFrame, name: str, parts: int = 3,
                    fit: Callable[[DataFrame, str], PipelineModel] = fit_model) -> CalibratedModel:
     """Isotonic calibration over hash parts of the training fold."""
     part = part_number(SEED, parts)
-    pairs = []
-    for i in range(parts):
+
+    def pair(i: int) -> tuple:
         model = fit(train.filter(part != i), name)
         held_out = predict_with(model, train.filter(part == i), "_score")
-        pairs.append((model, fit_isotonic(held_out)))
-    return CalibratedModel(pairs)
+        return model, fit_isotonic(held_out)
+
+    return CalibratedModel(at_once(train.sparkSession, pair, range(parts)))
 
 
 def save_calibrated(model: CalibratedModel, path: str) -> None:

@@ -11,9 +11,11 @@ left out: every skipped block is proven to hold no nearer row.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 
 from riskloom.session import cut_lineage
 
+# tasks get these functions by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 2048
 _CHUNK = 128
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,18 @@ from riskloom.operators.features import engineer_features
 from riskloom.operators.scoring import band_thresholds, thresholds_of
 from riskloom.operators.split import split_summary, stratified_split
 from riskloom.schema import FLAGS, ID, NUMERIC, TARGET
-from riskloom.session import cut_lineage
+from riskloom.session import at_once, cut_lineage
 from riskloom.sources.accounts import write_table
 
 CANDIDATES = ["logistic_regression", "random_forest", "gradient_boosting"]
 METRICS = ["roc_auc", "pr_auc", "ks", "brier_score", "precision", "recall", "f1"]
 
 
+def fit_candidates(train: DataFrame, prep: PipelineModel, names: list[str]) -> dict[str, PipelineModel]:
+    fitted = at_once(train.sparkSession, lambda name: learning.fit_model(train, name, prep), names)
+    return dict(zip(names, fitted))
+
+
 def model_scores(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
     """Long table (ID, model, predicted_pd, outcome) of every model."""
     parts = [
@@ -30,10 +36,7 @@ def model_scores(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
             ID, F.lit(name).alias("model"), "predicted_pd", F.col(TARGET).cast("int").alias(TARGET))
         for name, model in models.items()
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def model_metrics(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
@@ -106,12 +109,14 @@ def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CA
             generated, width, list(learning.one_hot_blocks(prep).values()),
             [features.index(f) for f in FLAGS])
         variants["synthetic_balanced"] = cut_lineage(resample.stack_synthetic(fold, valid))
-    parts = None
-    for strategy, rows in variants.items():
-        for name in names:
-            scored = _score_encoded(learning.fit_classifier(rows, name, None), held_out, name)
-            scored = scored.withColumn("strategy", F.lit(strategy))
-            parts = scored if parts is None else parts.unionByName(scored)
+
+    def scores(task: tuple[str, str]) -> DataFrame:
+        strategy, name = task
+        classifier = learning.fit_classifier(variants[strategy], name, None)
+        return _score_encoded(classifier, held_out, name).withColumn("strategy", F.lit(strategy))
+
+    tasks = [(strategy, name) for name in reversed(names) for strategy in variants]
+    parts = reduce(DataFrame.unionByName, at_once(train.sparkSession, scores, tasks, threads=6))
     return metrics.full_metrics(parts, "predicted_pd", TARGET, ["model", "strategy"]).select(
         "model", "strategy", "roc_auc", "pr_auc", "recall", "precision", "f1")
 
@@ -174,7 +179,7 @@ def run_training(raw: DataFrame, out: str, names: list[str] = CANDIDATES,
 
     progress("candidate models")
     prep = learning.fit_preprocessor(train)
-    models = {name: learning.fit_model(train, name, prep) for name in names}
+    models = fit_candidates(train, prep, names)
     rows = cut_lineage(model_metrics(models, test))
     sections["model_metrics"] = rows
     best = metrics.best_model(rows).first()["model"]
@@ -214,10 +219,7 @@ def run_training(raw: DataFrame, out: str, names: list[str] = CANDIDATES,
     models[best].write().overwrite().save(f"{out}/models/{best}")
     prep.write().overwrite().save(f"{out}/models/preprocessor")
     learning.save_calibrated(calibrated, f"{out}/models/calibrated")
-    bundle = None
-    for name, table in sections.items():
-        rows_of = _section(table, name)
-        bundle = rows_of if bundle is None else bundle.unionByName(rows_of)
+    bundle = reduce(DataFrame.unionByName, [_section(table, name) for name, table in sections.items()])
     bundle.write.mode("overwrite").json(f"{out}/results")
     return spark.read.schema("section string, body string").json(f"{out}/results")
 

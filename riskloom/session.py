@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -57,3 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def at_once(spark: SparkSession, work: Callable, items: Iterable, threads: int = 4) -> list:
+    """Run independent jobs from several driver threads, results in order.
+
+    An iterative fit is a chain of short jobs; several chains fill the cluster
+    better than one. MLlib's cross-validation does the same.
+    """
+    items = list(items)
+    with ThreadPool(min(threads, max(len(items), 1))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
