@@ -120,9 +120,10 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, rows_per_block: int = BLO
     near = cut_lineage(blocks.groupBy("block").applyInPandas(inside, out))
     visits = _visits(blocks, near, k)
     pairs = visits.select("target", "block").distinct()
-    residents = pairs.join(blocks.select("ID", "x", F.col("block").alias("target")), "target")
+    residents = pairs.join(blocks.select("ID", "x", F.col("block").alias("target")), "target").select(
+        "ID", "x", F.col("target").alias("home"), F.col("block").alias("caller"))
     far = visits.groupBy("target", "block").cogroup(
-        residents.groupBy("target", "block")).applyInPandas(across, out)
+        residents.groupBy("home", "caller")).applyInPandas(across, out)
     best = Window.partitionBy("ID").orderBy("distance", "neighbour")
     return near.unionByName(far).withColumn("rank", F.row_number().over(best)).filter(
         F.col("rank") <= k).select("ID", "rank", "neighbour", "distance")

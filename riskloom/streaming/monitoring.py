@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.drift import EDGES, FLOOR, drift_flag
 from riskloom.operators.metrics import full_metrics
 
 
-def event_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """A Parquet folder or file replayed as a stream."""
+def event_stream(spark: SparkSession, path: str, like: DataFrame, time: str = "ts") -> DataFrame:
+    """A Parquet folder or file replayed as a stream.
+
+    Watermarks need an instant: a time without zone is read as UTC, whatever the
+    time zone of the session.
+    """
     folder, _, name = path.rstrip("/").rpartition("/")
-    return spark.readStream.schema(like.schema).option("pathGlobFilter", name).parquet(folder)
+    stream = spark.readStream.schema(like.schema).option("pathGlobFilter", name).parquet(folder)
+    if isinstance(like.schema[time].dataType, T.TimestampNTZType):
+        stream = stream.withColumn(
+            time, F.from_utc_timestamp(F.col(time).cast("timestamp"), F.current_timezone()))
+    return stream
+
+
+def utc_day(time: str) -> Column:
+    """Calendar day of an instant in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.col(time), F.current_timezone()), "yyyy-MM-dd")
 
 
 def fixed_edges(row: DataFrame) -> list[float]:

@@ -67,7 +67,7 @@ def st2_windows(spark, d):
     monitoring.run_to_table(counts, sink, scratch_path(spark, "progress"))
     shares = monitoring.reference_shares(reference, "value", edges)
     return six(monitoring.window_stability(spark.read.parquet(sink), shares)).withColumn(
-        "window_start", F.date_format("window_start", "yyyy-MM-dd"))
+        "window_start", monitoring.utc_day("window_start"))
 
 
 def _scored_events(stream):
@@ -81,7 +81,7 @@ def st2_quality(spark, d):
     sink = scratch_path(spark, "quality")
     quality = monitoring.window_quality(_scored_events(stream), "ts", "p", "y")
     monitoring.run_to_table(quality, sink, scratch_path(spark, "progress"))
-    return six(spark.read.parquet(sink)).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+    return six(spark.read.parquet(sink)).withColumn("window_start", monitoring.utc_day("window_start"))
 
 
 def st2_ranks(spark, d):
