@@ -35,7 +35,8 @@ def to_long(df: DataFrame, columns: list[str], keep: list[str] | None = None,
             name: str = "feature", value: str = "value", kind: str = "double") -> DataFrame:
     """One row per (kept columns, column name, value)."""
     keep = keep or []
-    narrow = df.select(*keep, *[F.col(f"`{c}`").cast(kind).alias(c) for c in columns])
+    narrow = df.selectExpr(*[f"`{k}`" for k in keep],
+                           *[f"CAST(`{c}` AS {kind}) AS `{c}`" for c in columns])
     return narrow.unpivot(keep, columns, name, value)
 
 
@@ -45,9 +46,9 @@ def metric_rows(one_row: DataFrame, layout: list[tuple[tuple[str, ...], str]],
 
     `layout` pairs the label values of a row with the wide column that holds it.
     """
-    rows = [
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, labels)],
-                 F.col(f"`{column}`").cast("double").alias(value))
+    rows = ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', '{v}'" for n, v in zip(names, labels))
+        + f", '{value}', CAST(`{column}` AS DOUBLE))"
         for labels, column in layout
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
+    )
+    return one_row.selectExpr(f"inline(array({rows}))")

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.numbers import metric_rows, to_long
 from riskloom.operators.clean import find_target
 from riskloom.operators.ranking import exact_quantiles
-from riskloom.schema import CATEGORICAL, ID
+from riskloom.schema import CATEGORICAL, ID, account_schema
 
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 Metric = tuple[tuple[str, str, str], Column]  # (section, column, metric), aggregate
@@ -48,22 +48,21 @@ def _schema_metrics(df: DataFrame) -> list[Metric]:
 def _missing_metrics(df: DataFrame) -> list[Metric]:
     metrics = []
     for c in df.columns:
-        gone = F.sum(F.col(f"`{c}`").isNull().cast("long"))
-        metrics.append((("missing", c, "missing_count"), F.coalesce(gone, F.lit(0))))
+        gone = f"count_if(`{c}` IS NULL)"
+        metrics.append((("missing", c, "missing_count"), F.expr(gone)))
         metrics.append((("missing", c, "missing_pct"),
-                        F.bround(F.try_divide(gone * F.lit(100.0), F.count(F.lit(1))), 4)))
+                        F.expr(f"bround(try_divide({gone} * 100D, count(1)), 4)")))
     return metrics
 
 
 def _numeric_metrics(df: DataFrame) -> list[Metric]:
-    makers = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    return [(("numeric", c, name), make(F.col(f"`{c}`").cast("double")))
-            for c in numeric_columns(df) for name, make in makers.items()]
+    makers = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    return [(("numeric", c, name), F.expr(f"{maker}(CAST(`{c}` AS DOUBLE))"))
+            for c in numeric_columns(df) for name, maker in makers.items()]
 
 
 def _negative_metrics(df: DataFrame) -> list[Metric]:
-    return [(("negative_bills", c, "count"),
-             F.coalesce(F.sum((F.col(c) < 0).cast("long")), F.lit(0))) for c in _bills(df)]
+    return [(("negative_bills", c, "count"), F.expr(f"count_if(`{c}` < 0)")) for c in _bills(df)]
 
 
 def audit_schema(df: DataFrame) -> DataFrame:
@@ -118,18 +117,11 @@ def audit_target(df: DataFrame) -> DataFrame:
     """Count and share (percent, 3 digits) per outcome value, NULL included."""
     target = F.col(f"`{find_target(df)}`").cast("long")
     counts = df.groupBy(target.alias("code")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_whole())
+    total = F.sum("n").over(Window.partitionBy())  # one row per outcome value
     return counts.select("code", "n", F.bround(F.col("n") * 100.0 / total, 3).alias("rate_pct"),
                          total.alias("total"))
 
 
-def _whole():
-    """All rows of an already aggregated table (one per outcome value)."""
-    from pyspark.sql import Window
-
-    return Window.partitionBy()
-
-
 def audit_negative_bills(df: DataFrame) -> DataFrame:
     return _one_scan(df, _negative_metrics(df)).select(
         "column", F.col("value").cast("long").alias("negative_count"))
@@ -206,7 +198,7 @@ CODE_RANGES = {"SEX": (1, 2), "EDUCATION": (0, 6), "MARRIAGE": (0, 3), "AGE": (1
 
 def record_problems(df: DataFrame) -> DataFrame:
     """Add `problems`: the names of the broken rules of each record, empty if valid."""
-    required = [c for c in df.columns if c in _record_columns()]
+    required = account_schema(target=None).fieldNames()
     rules = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in required]
     rules.append(F.when(F.col("LIMIT_BAL") <= 0, F.lit("LIMIT_BAL not positive")))
     rules += [F.when(~F.col(c).between(low, high), F.lit(f"{c} out of range"))
@@ -216,12 +208,6 @@ def record_problems(df: DataFrame) -> DataFrame:
     return df.withColumn("problems", F.array_compact(F.array(*rules)))
 
 
-def _record_columns() -> set[str]:
-    from riskloom.schema import account_schema
-
-    return set(account_schema(target=None).fieldNames())
-
-
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records fit for scoring, quarantined records with their problems)."""
     checked = record_problems(df)

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.numbers import to_long
 from riskloom.operators.ranking import cuts_passed, edge_columns, exact_quantiles
+from riskloom.session import cut_lineage
 
 FLOOR = 1e-6
 EDGES = [i / 10 for i in range(1, 10)]
 
 
 def stability_edges(expected: DataFrame, features: list[str]) -> DataFrame:
-    """Inner decile cuts of the reference data: one row per feature."""
-    return edge_columns(exact_quantiles(expected, features, EDGES), EDGES)
+    """Inner decile cuts of the reference data: one row per feature, stored because
+    both sides and the list of bins read them."""
+    return cut_lineage(edge_columns(exact_quantiles(expected, features, EDGES), EDGES))
 
 
 def _binned(df: DataFrame, features: list[str], edges: DataFrame, by: list[str]) -> DataFrame:

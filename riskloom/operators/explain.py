@@ -151,9 +151,9 @@ def _walk(x: np.ndarray, trees: list[tuple], out: np.ndarray) -> None:
             at[moving] = following
 
 
-def path_contributions(encoded: DataFrame, nodes: pd.DataFrame, weights: list[float],
-                       names: list[str]) -> DataFrame:
-    """Long table of path attributions of a tree ensemble, in Arrow batches.
+def path_attributions(encoded: DataFrame, nodes: pd.DataFrame, weights: list[float],
+                      names: list[str]) -> DataFrame:
+    """(ID, entries): path attributions of a tree ensemble per account, in Arrow batches.
 
     The contributions of an account and the mean root value add up to its score.
     """
@@ -169,7 +169,22 @@ def path_contributions(encoded: DataFrame, nodes: pd.DataFrame, weights: list[fl
     explained = F.pandas_udf(explain, "array<double>")
     listed = F.array(*[F.lit(n) for n in names])
     rows = with_array(encoded).select(ID, explained(F.col("_x")).alias("_c"))
-    return rows.select(ID, F.inline(F.arrays_zip(listed.alias("feature"), F.col("_c").alias("contribution"))))
+    return rows.select(ID, F.arrays_zip(
+        listed.alias("feature"), F.col("_c").alias("contribution")).alias("entries"))
+
+
+def path_contributions(attributions: DataFrame) -> DataFrame:
+    """Long table (ID, feature, contribution)."""
+    return attributions.select(ID, F.inline("entries"))
+
+
+def strongest_paths(attributions: DataFrame, k: int = TOP_LOCAL) -> DataFrame:
+    """The k strongest entries of each account, chosen inside the row."""
+    ranked = F.array_sort(F.transform("entries", lambda e: F.struct(
+        (-F.abs(e["contribution"])).alias("_key"), e["feature"].alias("feature"),
+        e["contribution"].alias("contribution"))))
+    return attributions.select(ID, F.posexplode(F.slice(ranked, 1, k)).alias("_at", "_top")).select(
+        ID, (F.col("_at") + 1).alias("rank"), "_top.feature", "_top.contribution")
 
 
 def global_from_rows(rows: DataFrame, k: int = TOP_GLOBAL) -> DataFrame:

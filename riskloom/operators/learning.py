@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numbers import micro
+from riskloom.functions.rowwise import number
 from riskloom.operators.ranking import exact_quantiles
 from riskloom.operators.split import class_weights, part_number
 from riskloom.schema import CATEGORICAL, ID, NUMERIC, TARGET
@@ -36,9 +37,9 @@ def medians(train: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
 def numeric_statistics(train: DataFrame, columns: list[str] = NUMERIC) -> dict[str, tuple]:
     """Per column: median, and mean and population deviation after imputation."""
     middle = {r["feature"]: r["median"] for r in medians(train, columns).collect()}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c, 0.0))) for c in columns}
-    row = train.agg(*[F.avg(v).alias(f"{c}_avg") for c, v in filled.items()],
-                    *[F.stddev_pop(v).alias(f"{c}_dev") for c, v in filled.items()]).first()
+    filled = {c: f"coalesce(CAST({c} AS DOUBLE), {number(middle.get(c, 0.0))})" for c in columns}
+    row = train.agg(*[F.expr(f"avg({v}) AS {c}_avg") for c, v in filled.items()],
+                    *[F.expr(f"stddev_pop({v}) AS {c}_dev") for c, v in filled.items()]).first()
     return {c: (middle.get(c, 0.0), row[f"{c}_avg"], row[f"{c}_dev"] or 1.0) for c in columns}
 
 
@@ -82,12 +83,13 @@ def encode(preprocessor: PipelineModel, df: DataFrame) -> DataFrame:
     return preprocessor.transform(df).select(ID, F.col(TARGET).cast("double").alias(TARGET), "features")
 
 
-def _weights(train: DataFrame, kind: str | None) -> Column:
-    """Class weights as a column; two numbers come from the fold."""
-    if kind is None:
-        return F.lit(1.0)
-    by_class = {r["class"]: r[f"{kind}_weight"] for r in class_weights(train).collect()}
-    return F.when(F.col(TARGET) == 1, F.lit(float(by_class[1]))).otherwise(F.lit(float(by_class[0])))
+def _weights(train: DataFrame, kind: str | None) -> tuple[Column, float]:
+    """Class weights as a column, and their sum; two class counts come from the fold."""
+    counts = {r["class"]: r for r in class_weights(train).collect()}
+    by_class = {c: float(r[f"{kind}_weight"]) if kind else 1.0 for c, r in counts.items()}
+    total = sum(by_class[c] * r["n"] for c, r in counts.items())
+    column = F.when(F.col(TARGET) == 1, F.lit(by_class.get(1, 1.0))).otherwise(F.lit(by_class.get(0, 1.0)))
+    return column, total
 
 
 def logistic_regression(total_weight: float, c: float = 0.1) -> LogisticRegression:
@@ -110,10 +112,14 @@ def gradient_boosting(rounds: int = 300) -> GBTClassifier:
 
 
 def fit_classifier(encoded: DataFrame, name: str, weighting: str | None, c: float = 0.1) -> Transformer:
-    """Fit one of the three classifiers on an encoded training fold."""
-    weighted = encoded.withColumn(WEIGHT, _weights(encoded, weighting))
+    """Fit one of the three classifiers on an encoded training fold.
+
+    The fold is not cached here: the fits keep their own compact copy (blocks of
+    instances, binned tree points) and read the encoded rows a few times only.
+    """
+    weight, total = _weights(encoded, weighting)
+    weighted = encoded.withColumn(WEIGHT, weight)
     if name == "logistic_regression":
-        total = weighted.agg(F.sum(WEIGHT)).first()[0]
         return logistic_regression(total, c).fit(weighted)
     estimator = random_forest() if name == "random_forest" else gradient_boosting()
     return estimator.fit(weighted)
@@ -127,11 +133,7 @@ WEIGHTING = {
 def fit_model(train: DataFrame, name: str, preprocessor: PipelineModel | None = None) -> PipelineModel:
     """Preprocessor and class-weighted classifier as one saved-and-loaded pipeline."""
     preprocessor = preprocessor or fit_preprocessor(train)
-    encoded = encode(preprocessor, train).persist()
-    try:
-        classifier = fit_classifier(encoded, name, WEIGHTING[name])
-    finally:
-        encoded.unpersist()
+    classifier = fit_classifier(encode(preprocessor, train), name, WEIGHTING[name])
     return PipelineModel([*preprocessor.stages, classifier])
 
 

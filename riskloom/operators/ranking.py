@@ -19,9 +19,9 @@ def running_totals(counts: DataFrame, value: str, measures: list[str],
     """Add `cum_<m>` (up to and including the value) and `total_<m>` per key.
 
     `counts` holds one row per (keys, value). Its ranges are cut by sampling, so
-    they are written once and both branches below read the same cut. The side
-    that is broadcast has one row per (key, range): at most the number of
-    shuffle partitions plus the number of keys.
+    they are written once and both branches below read the same cut. The offsets
+    have one row per (key, range); how to join them is left to their size at run
+    time, and the join's partitioning is the one the window needs.
     """
     by_value = F.col(value).desc() if descending else F.col(value).asc()
     ranged = counts.repartitionByRange(*[F.col(k) for k in keys], by_value)
@@ -39,7 +39,7 @@ def running_totals(counts: DataFrame, value: str, measures: list[str],
     )
     inside = Window.partitionBy(*keys, "_range").orderBy(by_value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(F.broadcast(offsets), [*keys, "_range"]).select(
+    return ranged.join(offsets, [*keys, "_range"]).select(
         *keys, value, *measures,
         *[(F.col(f"_before_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures],
         *[f"total_{m}" for m in measures],
@@ -52,25 +52,21 @@ def _brackets(df: DataFrame, columns: list[str], probabilities: list[float],
     exact quantile. The sketch errs by at most 1/accuracy in rank; the margin is
     four times that. Tables smaller than `accuracy` rows are not bracketed."""
     margin = 4.0 / accuracy
-    low = [max(p - margin, 0.0) for p in probabilities]
-    high = [min(p + margin, 1.0) for p in probabilities]
-    probes = F.array(*[F.lit(p) for p in low + high])
+    probes = ", ".join(
+        [f"{max(p - margin, 0.0)!r}D" for p in probabilities]
+        + [f"{min(p + margin, 1.0)!r}D" for p in probabilities])
     one_row = df.agg(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.count(F.col(c)).cast("double").alias("_rows"),
-            F.percentile_approx(F.col(c).cast("double"), probes, F.lit(accuracy)).alias("_at"),
-        ).alias(c)
+        F.expr(f"""named_struct('feature', '{c}', '_rows', CAST(count(`{c}`) AS DOUBLE), '_at',
+                   percentile_approx(CAST(`{c}` AS DOUBLE), array({probes}), {accuracy})) AS `{c}`""")
         for c in columns
     ])
-    long = one_row.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
-    small = F.col("_rows") < accuracy
+    listed = ", ".join(f"`{c}`" for c in columns)
     n = len(probabilities)
-    return long.select(
+    return one_row.selectExpr(f"inline(array({listed}))").selectExpr(
         "feature", "_rows",
-        *[F.when(small, F.lit(float("-inf"))).otherwise(F.col("_at")[i]).alias(f"_lo{i}")
+        *[f"CASE WHEN _rows < {accuracy} THEN double('-inf') ELSE _at[{i}] END AS _lo{i}"
           for i in range(n)],
-        *[F.when(small, F.lit(float("inf"))).otherwise(F.col("_at")[n + i]).alias(f"_hi{i}")
+        *[f"CASE WHEN _rows < {accuracy} THEN double('inf') ELSE _at[{n + i}] END AS _hi{i}"
           for i in range(n)],
     )
 
@@ -78,17 +74,15 @@ def _brackets(df: DataFrame, columns: list[str], probabilities: list[float],
 def _fold_outside(values: DataFrame, n: int) -> DataFrame:
     """Count values inside any bracket one by one and each stretch between two
     brackets as a single row, so only a small part of the data is shuffled."""
-    v = F.col("value")
-    inside, passed = F.lit(False), F.lit(0)
-    for i in range(n):
-        inside = inside | ((v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")))
-        passed = passed + (v > F.col(f"_hi{i}")).cast("int")
-    tagged = values.select("feature", "value", inside.alias("_inside"), passed.alias("_passed"))
-    return tagged.groupBy(
-        "feature", "_inside",
-        F.when(F.col("_inside"), F.lit(-1)).otherwise(F.col("_passed")).alias("_stretch"),
-        F.when(F.col("_inside"), F.col("value")).alias("_exact"),
-    ).agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    inside = " OR ".join(f"(value >= _lo{i} AND value <= _hi{i})" for i in range(n))
+    passed = " + ".join(f"CAST(value > _hi{i} AS INT)" for i in range(n))
+    tagged = values.selectExpr("feature", "value", f"{inside} AS _inside", f"{passed} AS _passed")
+    return tagged.selectExpr(
+        "feature", "value", "CAST(_inside AS INT) AS _inside",
+        "CASE WHEN _inside THEN -1 ELSE _passed END AS _stretch",
+        "CASE WHEN _inside THEN value END AS _exact",
+    ).groupBy("feature", "_inside", "_stretch", "_exact").agg(
+        F.min("value").alias("value"), F.count(F.lit(1)).alias("n"))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float],
@@ -103,8 +97,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     # one row per column of the table
     values = to_long(df, columns).filter(F.col("value").isNotNull()).join(
         F.broadcast(brackets), "feature")
-    folded = _fold_outside(values, n).withColumn("_inside", F.col("_inside").cast("int"))
-    ranked = running_totals(folded, "value", ["n", "_inside"], ["feature"])
+    ranked = running_totals(_fold_outside(values, n), "value", ["n", "_inside"], ["feature"])
 
     targets = ranked.groupBy("feature").agg(F.max("total_n").alias("_rows")).select(
         "feature", F.inline(F.array(*[

@@ -17,7 +17,7 @@ from riskloom.operators.features import engineer_features
 from riskloom.operators.scoring import band_thresholds, thresholds_of
 from riskloom.operators.split import split_summary, stratified_split
 from riskloom.schema import FLAGS, ID, NUMERIC, TARGET
-from riskloom.session import at_once, cut_lineage
+from riskloom.session import at_once, cut_lineage, prepare
 from riskloom.sources.accounts import write_table
 
 CANDIDATES = ["logistic_regression", "random_forest", "gradient_boosting"]
@@ -49,18 +49,21 @@ def _score_encoded(classifier, encoded: DataFrame, label: str) -> DataFrame:
         F.col(TARGET).cast("int").alias(TARGET))
 
 
-def imbalance_study(train: DataFrame, test: DataFrame) -> DataFrame:
+def imbalance_study(train: DataFrame, test: DataFrame, prep: PipelineModel | None = None) -> DataFrame:
     """Logistic regression (C = 1) without treatment, with class weights, with SMOTE."""
-    prep = learning.fit_preprocessor(train)
-    fold = cut_lineage(learning.encode(prep, train))
-    held_out = learning.encode(prep, test)
-    plain = learning.fit_classifier(fold, "logistic_regression", None, c=1.0)
-    weighted = learning.fit_classifier(fold, "logistic_regression", "balanced", c=1.0)
-    balanced = cut_lineage(resample.stack_synthetic(fold, resample.smote(fold)))
-    oversampled = learning.fit_classifier(balanced, "logistic_regression", None, c=1.0)
-    scores = _score_encoded(plain, held_out, "none").unionByName(
-        _score_encoded(weighted, held_out, "class_weight")).unionByName(
-        _score_encoded(oversampled, held_out, "smote"))
+    prep = prep or learning.fit_preprocessor(train)
+    fold, held_out = learning.encode(prep, train), learning.encode(prep, test)
+
+    def strategy_scores(strategy: str) -> DataFrame:
+        rows = fold
+        if strategy == "smote":
+            rows = resample.stack_synthetic(fold, cut_lineage(resample.smote(fold)))
+        weighting = "balanced" if strategy == "class_weight" else None
+        classifier = learning.fit_classifier(rows, "logistic_regression", weighting, c=1.0)
+        return _score_encoded(classifier, held_out, strategy)
+
+    scores = reduce(DataFrame.unionByName, at_once(
+        train.sparkSession, strategy_scores, ["smote", "none", "class_weight"]))
     result = metrics.full_metrics(scores, "predicted_pd", TARGET, ["model"], strict=True)
     return result.select(
         F.col("model").alias("strategy"), "roc_auc", "pr_auc",
@@ -74,9 +77,9 @@ def encoded_minority(train: DataFrame, prep: PipelineModel, width: int) -> DataF
     return explain.with_array(rows).select(ID, F.slice("_x", 1, width).alias("x"))
 
 
-def generator_study(train: DataFrame, wanted: int = 1500) -> DataFrame:
+def generator_study(train: DataFrame, wanted: int = 1500, prep: PipelineModel | None = None) -> DataFrame:
     """Linear generator on the numeric columns of class 1, with its diagnostics."""
-    prep = learning.fit_preprocessor(train)
+    prep = prep or learning.fit_preprocessor(train)
     width = len(NUMERIC)
     real = cut_lineage(encoded_minority(train, prep, width))
     summary, synthetic = resample.linear_generator(real, width, wanted)
@@ -92,14 +95,14 @@ def generator_study(train: DataFrame, wanted: int = 1500) -> DataFrame:
         resample.distribution_diagnostics(named(real), named(synthetic), NUMERIC))
 
 
-def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CANDIDATES) -> DataFrame:
+def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CANDIDATES,
+                        prep: PipelineModel | None = None) -> DataFrame:
     """Every classifier on the original and on the synthetically balanced fold,
     without class weights, measured on the same test fold."""
-    prep = learning.fit_preprocessor(train)
+    prep = prep or learning.fit_preprocessor(train)
     features = learning.feature_names(prep)
     width = len(features)
-    fold = cut_lineage(learning.encode(prep, train))
-    held_out = cut_lineage(learning.encode(prep, test))
+    fold, held_out = learning.encode(prep, train), learning.encode(prep, test)
     majority, minority = resample.class_sizes(fold)
     real = encoded_minority(train, prep, width)
     summary, generated = resample.linear_generator(real, width, majority - minority)
@@ -108,7 +111,7 @@ def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CA
         valid = resample.make_array_valid(
             generated, width, list(learning.one_hot_blocks(prep).values()),
             [features.index(f) for f in FLAGS])
-        variants["synthetic_balanced"] = cut_lineage(resample.stack_synthetic(fold, valid))
+        variants["synthetic_balanced"] = resample.stack_synthetic(fold, cut_lineage(valid))
 
     def scores(task: tuple[str, str]) -> DataFrame:
         strategy, name = task
@@ -163,7 +166,7 @@ def run_training(raw: DataFrame, out: str, names: list[str] = CANDIDATES,
 
     Returns the result bundle as (section, body) rows with JSON bodies.
     """
-    spark: SparkSession = raw.sparkSession
+    spark: SparkSession = prepare(raw.sparkSession)
     write_table(engineer_features(clean_accounts(raw)), f"{out}/customers")
     customers = spark.read.parquet(f"{out}/customers")
     write_table(stratified_split(customers), f"{out}/folds")
@@ -172,14 +175,16 @@ def run_training(raw: DataFrame, out: str, names: list[str] = CANDIDATES,
     test = folds.filter(F.col("fold") == "test").drop("fold")
     sections = {"split": split_summary(folds)}
 
-    progress("imbalance study")
-    sections["imbalance_comparison"] = imbalance_study(train, test)
-    progress("generator study")
-    sections["generator_experiment"] = generator_study(train)
-
-    progress("candidate models")
     prep = learning.fit_preprocessor(train)
-    models = fit_candidates(train, prep, names)
+    progress("studies and candidate models")
+    studies = {
+        "models": lambda: fit_candidates(train, prep, names),
+        "imbalance_comparison": lambda: cut_lineage(imbalance_study(train, test, prep)),
+        "generator_experiment": lambda: cut_lineage(generator_study(train, prep=prep)),
+    }
+    done = dict(zip(studies, at_once(spark, lambda make: make(), studies.values())))
+    models = done.pop("models")
+    sections |= done
     rows = cut_lineage(model_metrics(models, test))
     sections["model_metrics"] = rows
     best = metrics.best_model(rows).first()["model"]

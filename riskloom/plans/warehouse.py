@@ -16,22 +16,23 @@ from riskloom.operators.features import engineer_features
 from riskloom.operators.scoring import band_thresholds, scorecard_predictor, thresholds_of
 from riskloom.operators.split import stratified_split
 from riskloom.schema import TARGET
-from riskloom.session import scratch_path
+from riskloom.session import prepare, scratch_path
 from riskloom.sources.accounts import write_table
 from riskloom.sources.panel import account_panel
 
 _WRITTEN: dict[tuple[str, str, str], object] = {}
 
 
-def _once(spark: SparkSession, folder: str, name: str, make):
+def once(spark: SparkSession, folder: str, name: str, make):
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _WRITTEN:
+        prepare(spark)
         _WRITTEN[key] = make()
     return _WRITTEN[key]
 
 
 def _stored(spark: SparkSession, folder: str, name: str, build, partition_by: str | None = None) -> DataFrame:
-    path = _once(spark, folder, name,
+    path = once(spark, folder, name,
                  lambda: write_table(build(), scratch_path(spark, name), partition_by))
     return spark.read.parquet(path)
 
@@ -74,7 +75,7 @@ def thresholds(spark: SparkSession, folder: str) -> dict[str, float]:
         train = scored_population(spark, folder).filter(F.col("fold") == "train")
         return thresholds_of(band_thresholds(train.select("predicted_pd")))
 
-    return _once(spark, folder, "thresholds", compute)
+    return once(spark, folder, "thresholds", compute)
 
 
 def scored_customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,13 +8,12 @@ are partial aggregates on both sides of the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.schema import BILLS, MONTHS, PAYMENTS, STATUS, TARGET
 
 OUTCOME_YEAR = 2001
-MONEY = "decimal(12,2)"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,42 +21,40 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _order_money(lines: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
+    """Sums in whole cents: exact in any order of addition, and plain long adds."""
+    price = F.round(F.col("l_extendedprice") * 100.0).cast("long")
     return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(F.when(F.col("l_returnflag") == "R", -price).otherwise(price)).alias("bill"),
         F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("paid"),
     )
 
 
-def _count(condition: Column) -> Column:
-    return F.coalesce(F.sum(condition.cast("int")), F.lit(0)).cast("int")
-
-
 def _per_account(orders: DataFrame) -> DataFrame:
-    status = F.col("o_orderstatus")
-    measures = [_count((F.col("month") == 0) & (status == "O")).alias("open_0")]
+    measures = ["CAST(sum(CAST(month = 0 AND o_orderstatus = 'O' AS INT)) AS INT) AS open_0"]
     for i in MONTHS:
-        here = F.col("month") == i
         measures += [
-            _count(here).alias(f"orders_{i}"),
-            _count(here & (status == "O")).alias(f"open_{i}"),
-            _count(here & (status == "P")).alias(f"part_{i}"),
-            F.sum(F.when(here, F.col("bill"))).alias(f"bill_{i}"),
-            F.sum(F.when(here, F.col("paid"))).alias(f"paid_{i}"),
+            f"CAST(sum(CAST(month = {i} AS INT)) AS INT) AS orders_{i}",
+            f"CAST(sum(CAST(month = {i} AND o_orderstatus = 'O' AS INT)) AS INT) AS open_{i}",
+            f"CAST(sum(CAST(month = {i} AND o_orderstatus = 'P' AS INT)) AS INT) AS part_{i}",
+            f"sum(CASE WHEN month = {i} THEN bill END) AS bill_{i}",
+            f"sum(CASE WHEN month = {i} THEN paid END) AS paid_{i}",
         ]
-    return orders.groupBy("o_custkey").agg(*measures)
+    return orders.groupBy("o_custkey").agg(*[F.expr(m) for m in measures])
 
 
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0))
+def _status(i: int) -> str:
+    return (f"CASE WHEN coalesce(orders_{i}, 0) = 0 THEN -2 "
+            f"WHEN open_{i} = 0 AND part_{i} = 0 THEN -1 ELSE least(open_{i}, 8) END")
 
 
-def _status(i: int) -> Column:
-    return (
-        F.when(_or_zero(f"orders_{i}") == 0, F.lit(-2))
-        .when((F.col(f"open_{i}") == 0) & (F.col(f"part_{i}") == 0), F.lit(-1))
-        .otherwise(F.least(F.col(f"open_{i}"), F.lit(8)))
-    )
+def _amount(name: str) -> str:
+    return f"CAST(coalesce({name}, 0) AS DOUBLE) / 100D"
+
+
+# an open order in the outcome year, or one in the newest month for every third
+# account, or three in the two months before it for every second account
+_DEFAULTED = """coalesce(open_0, 0) >= 1 OR (coalesce(open_1, 0) >= 1 AND c_custkey % 3 = 0)
+    OR (coalesce(open_2, 0) + coalesce(open_3, 0) >= 3 AND c_custkey % 2 = 0)"""
 
 
 def account_panel(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,22 +73,16 @@ def account_panel(spark: SparkSession, folder: str) -> DataFrame:
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     joined = customer.join(history, customer.c_custkey == history.o_custkey, "left")
 
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    several_open = (_or_zero("open_2") + _or_zero("open_3") >= 3) & (key % 2 == 0)
-    defaulted = (
-        (_or_zero("open_0") >= 1) | ((_or_zero("open_1") >= 1) & (key % 3 == 0)) | several_open
-    )
-    limit = F.lit(10000.0) + F.lit(10000.0) * F.floor(F.greatest("c_acctbal", F.lit(0.0)) / 100.0)
-    return joined.select(
-        (key + 1).alias("ID"),
-        limit.cast("double").alias("LIMIT_BAL"),
-        (F.lit(1) + key % 2).cast("int").alias("SEX"),
-        (F.col("c_nationkey") % 7).cast("int").alias("EDUCATION"),
-        F.when(segment == "BUILDING", 0).when(segment == "AUTOMOBILE", 1)
-        .when(segment == "MACHINERY", 2).otherwise(3).alias("MARRIAGE"),
-        (F.lit(21) + (key * 7) % 59).cast("int").alias("AGE"),
-        *[_status(i).alias(name) for i, name in zip(MONTHS, STATUS)],
-        *[_or_zero(f"bill_{i}").cast("double").alias(name) for i, name in zip(MONTHS, BILLS)],
-        *[_or_zero(f"paid_{i}").cast("double").alias(name) for i, name in zip(MONTHS, PAYMENTS)],
-        defaulted.cast("int").alias(TARGET),
+    return joined.selectExpr(
+        "c_custkey + 1 AS ID",
+        "CAST(10000D + 10000D * floor(greatest(c_acctbal, 0D) / 100D) AS DOUBLE) AS LIMIT_BAL",
+        "CAST(1 + c_custkey % 2 AS INT) AS SEX",
+        "CAST(c_nationkey % 7 AS INT) AS EDUCATION",
+        "CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'AUTOMOBILE' THEN 1 WHEN 'MACHINERY' THEN 2 "
+        "ELSE 3 END AS MARRIAGE",
+        "CAST(21 + (c_custkey * 7) % 59 AS INT) AS AGE",
+        *[f"{_status(i)} AS {name}" for i, name in zip(MONTHS, STATUS)],
+        *[f"{_amount(f'bill_{i}')} AS {name}" for i, name in zip(MONTHS, BILLS)],
+        *[f"{_amount(f'paid_{i}')} AS {name}" for i, name in zip(MONTHS, PAYMENTS)],
+        f"CAST({_DEFAULTED} AS INT) AS {TARGET}",
     )

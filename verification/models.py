@@ -21,21 +21,21 @@ def register(name, query):
 
 
 def _prep(spark, d) -> PipelineModel:
-    return W._once(spark, d, "preprocessor", lambda: learning.fit_preprocessor(W.train_fold(spark, d)))
+    return W.once(spark, d, "preprocessor", lambda: learning.fit_preprocessor(W.train_fold(spark, d)))
 
 
 def _model(spark, d, name) -> PipelineModel:
-    return W._once(spark, d, f"model {name}",
+    return W.once(spark, d, f"model {name}",
                    lambda: learning.fit_model(W.train_fold(spark, d), name, _prep(spark, d)))
 
 
 def _calibrated(spark, d, name=LOGISTIC) -> learning.CalibratedModel:
-    return W._once(spark, d, f"calibrated {name}", lambda: learning.fit_calibrated(W.train_fold(spark, d), name))
+    return W.once(spark, d, f"calibrated {name}", lambda: learning.fit_calibrated(W.train_fold(spark, d), name))
 
 
 def _imbalance(spark, d):
-    return W._once(spark, d, "imbalance", lambda: cut_lineage(
-        training.imbalance_study(W.train_fold(spark, d), W.test_fold(spark, d))))
+    return W.once(spark, d, "imbalance", lambda: cut_lineage(
+        training.imbalance_study(W.train_fold(spark, d), W.test_fold(spark, d), _prep(spark, d))))
 
 
 def _metrics_of(name):
@@ -63,7 +63,8 @@ def l11_smote(spark, d):
 
 
 def l15_retraining(spark, d):
-    table = training.balanced_retraining(W.train_fold(spark, d), W.test_fold(spark, d))
+    table = training.balanced_retraining(
+        W.train_fold(spark, d), W.test_fold(spark, d), prep=_prep(spark, d))
     return six(training.comparison_with_earlier(table, _imbalance(spark, d)))
 
 
@@ -95,19 +96,12 @@ def x3_logistic(spark, d):
 def _forest_paths(spark, d):
     model = _model(spark, d, FOREST)
     prep = _prep(spark, d)
-    nodes = W._once(spark, d, "forest nodes", lambda: explain.tree_nodes(spark, model, scratch_path(spark, "forest")))
+    nodes = W.once(spark, d, "forest nodes", lambda: explain.tree_nodes(spark, model, scratch_path(spark, "forest")))
     trees = model.stages[-1].getNumTrees
-    return explain.path_contributions(learning.encode(prep, W.test_fold(spark, d)), nodes, [1.0 / trees] * trees,
+    return explain.path_attributions(learning.encode(prep, W.test_fold(spark, d)), nodes, [1.0 / trees] * trees,
                                       learning.feature_names(prep))
 
 
-def x4_forest(spark, d):
-    paths = _forest_paths(spark, d).groupBy(ID).agg(F.collect_list(F.struct(  # one entry per model column
-        (-F.abs("contribution")).alias("key"), "feature", "contribution")).alias("c"))
-    top = paths.select(ID, F.posexplode(F.slice(F.array_sort("c"), 1, explain.TOP_LOCAL)).alias("at", "t"))
-    return top.select(ID, (F.col("at") + 1).alias("rank"), "t.feature", "t.contribution")
-
-
 def io7_saved_model(spark, d):
     path = scratch_path(spark, "model")
     _model(spark, d, LOGISTIC).write().overwrite().save(path)
@@ -133,8 +127,8 @@ def g12_model_card(spark, d):
 
 
 def sc3_training(spark, d):
-    """The whole run with the two candidates whose fits are a few jobs each."""
-    return training.run_training(W.raw_accounts(spark, d), scratch_path(spark, "training"), [LOGISTIC, FOREST])
+    """The whole run with all three candidates; the result bundle by section."""
+    return training.run_training(W.raw_accounts(spark, d), scratch_path(spark, "training"))
 
 
 register("l4_one_hot", l4_one_hot)
@@ -144,15 +138,17 @@ register("l7_random_forest", _metrics_of(FOREST))
 register("l8_gradient_boosting", _metrics_of(BOOSTING))
 register("l10_imbalance_study", lambda s, d: six(_imbalance(s, d)))
 register("l11_smote", l11_smote)
-register("l12_linear_generator", lambda s, d: training.generator_study(W.train_fold(s, d)))
+register("l12_linear_generator", lambda s, d: training.generator_study(
+    W.train_fold(s, d), prep=_prep(s, d)))
 register("l15_balanced_retraining", l15_retraining)
 register("l16_brier_choice", lambda s, d: six(_choice(s, d)))
 register("l16_calibrated_table", l16_calibration)
 register("x1_odds_ratios", x1_coefficients)
 register("x2_importances", x2_importances)
 register("x3_logistic_contributions", x3_logistic)
-register("x3_forest_contributions", lambda s, d: explain.global_from_rows(_forest_paths(s, d)))
-register("x4_forest_local", x4_forest)
+register("x3_forest_contributions", lambda s, d: explain.global_from_rows(
+    explain.path_contributions(_forest_paths(s, d))))
+register("x4_forest_local", lambda s, d: explain.strongest_paths(_forest_paths(s, d)))
 register("io7_saved_model", io7_saved_model)
 register("sc1_calibrated_scores", sc1_calibrated)
 register("g12_model_card", g12_model_card)

@@ -144,11 +144,11 @@ classed AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS
                    CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1 FROM cells)"""
 
 
-def psi(expected: str, actual: str, features: list[str], by: str = "1") -> str:
+def psi(expected: str, actual: str, features: list[str], by: str = "1", value=lambda f: f"CAST({f} AS DOUBLE)") -> str:
     """CTEs ending in `psi(period, feature, psi)`; one long row per value."""
     sides = " UNION ALL ".join(
-        f"SELECT 'e' AS side, 0 AS period, '{f}' AS feature, CAST({f} AS DOUBLE) AS v FROM {expected} "
-        f"UNION ALL SELECT 'a', {by}, '{f}', CAST({f} AS DOUBLE) FROM {actual}" for f in features)
+        f"SELECT 'e' AS side, 0 AS period, '{f}' AS feature, {value(f)} AS v FROM {expected} "
+        f"UNION ALL SELECT 'a', {by}, '{f}', {value(f)} FROM {actual}" for f in features)
     return f"""
 vals AS (SELECT * FROM ({sides}) WHERE v IS NOT NULL),
 cut AS (SELECT DISTINCT feature, c FROM (SELECT feature, unnest(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS c

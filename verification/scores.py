@@ -160,8 +160,11 @@ register("d1_psi_events", d1_psi_events, "WITH " + """before AS (SELECT value AS
 register("d2_d3_feature_drift", lambda s, d: six(drift.feature_drift(
     *_train_test(s, d), [*_DRIFT_FEATURES, "NOT_A_COLUMN"])),
     _with(SCORED + "," + psi("train", "scored", _DRIFT_FEATURES), f"SELECT feature, {sql_six('psi')} AS psi, {_FLAG} AS flag FROM psi"))
-register("d2_feature_drift_all", lambda s, d: six(drift.feature_drift(*_train_test(s, d), NUMERIC)),
-         _with(SCORED + "," + psi("train", "scored", NUMERIC), f"SELECT feature, {sql_six('psi')} AS psi, {_FLAG} AS flag FROM psi"))
+# all columns at six decimals: a trend that is zero but for its last bit would
+# otherwise fall on either side of a cut at zero
+register("d2_feature_drift_all", lambda s, d: six(drift.feature_drift(
+    *[six(side.select(*NUMERIC)) for side in _train_test(s, d)], NUMERIC)),
+    _with(SCORED + "," + psi("train", "scored", NUMERIC, value=lambda f: sql_six(f"CAST({f} AS DOUBLE)")), f"SELECT feature, {sql_six('psi')} AS psi, {_FLAG} AS flag FROM psi"))
 register("d4_prediction_drift", lambda s, d: six(drift.prediction_drift(*_train_test(s, d), "predicted_pd")),
          _with(SCORED + "," + psi("train", "scored", ["predicted_pd"]), f"""
     SELECT {sql_six("(SELECT AVG(predicted_pd) FROM train)")} AS reference_avg_pd, {sql_six("(SELECT AVG(predicted_pd) FROM scored)")} AS current_avg_pd,
