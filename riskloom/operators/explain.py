@@ -130,14 +130,19 @@ def _packed(nodes: pd.DataFrame, weights: list[float]) -> list[tuple]:
         part = part.sort_values("id")
         packed.append((float(weights[int(tree)]), part["feature"].to_numpy(int),
                        part["threshold"].to_numpy(float), part["left"].to_numpy(int),
-                       part["right"].to_numpy(int), part["value"].to_numpy(float)))
+                       part["right"].to_numpy(int), part["value"].to_numpy(float),
+                       part["categories"].to_numpy(int) >= 0))
     return packed
 
 
 def _walk(x: np.ndarray, trees: list[tuple], out: np.ndarray) -> None:
-    """Add each step's change of node value to the feature that was split on."""
+    """Add each step's change of node value to the feature that was split on.
+
+    A split on a one-hot column sends one of its two values to the left; any
+    other split sends the values up to its threshold.
+    """
     rows = np.arange(len(x))
-    for weight, feature, threshold, left, right, value in trees:
+    for weight, feature, threshold, left, right, value, binary in trees:
         at = np.zeros(len(x), dtype=int)
         while True:
             moving = rows[left[at] >= 0]
@@ -145,8 +150,9 @@ def _walk(x: np.ndarray, trees: list[tuple], out: np.ndarray) -> None:
                 break
             here = at[moving]
             split = feature[here]
-            below = x[moving, split] <= threshold[here]
-            following = np.where(below, left[here], right[here])
+            seen = x[moving, split]
+            goes_left = np.where(binary[here], seen == threshold[here], seen <= threshold[here])
+            following = np.where(goes_left, left[here], right[here])
             np.add.at(out, (moving, split), weight * (value[following] - value[here]))
             at[moving] = following
 
