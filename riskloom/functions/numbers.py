@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +23,6 @@ def uniform(seed: int, *parts: Column) -> Column:
     return (F.pmod(mixed, F.lit(1 << 40)).cast("double") + F.lit(0.5)) / F.lit(float(1 << 40))
 
 
-def gaussian(seed: int, *parts: Column) -> Column:
-    """Standard normal by the polar form of two hashed uniforms."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(uniform(seed, *parts)))
-    return radius * F.cos(F.lit(2.0 * math.pi) * uniform(seed + 7919, *parts))
-
-
 def to_long(df: DataFrame, columns: list[str], keep: list[str] | None = None,
             name: str = "feature", value: str = "value", kind: str = "double") -> DataFrame:
     """One row per (kept columns, column name, value)."""

@@ -99,26 +99,21 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         F.broadcast(brackets), "feature")
     ranked = running_totals(_fold_outside(values, n), "value", ["n", "_inside"], ["feature"])
 
-    targets = ranked.groupBy("feature").agg(F.max("total_n").alias("_rows")).select(
-        "feature", F.inline(F.array(*[
-            F.struct(F.lit(p).alias("prob"), ((F.col("_rows") - 1) * p).alias("_rank"))
-            for p in probabilities
-        ])))
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    lower, upper = F.floor("_rank"), F.ceil("_rank")
-    # rows: columns x probabilities
-    hits = ranked.join(F.broadcast(targets), "feature").filter(
-        lower.between(first, last) | upper.between(first, last))
-    exact = F.when(F.col("_inside") == 1, F.col("value")).otherwise(
-        F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-    picked = hits.groupBy("feature", "prob", "_rank").agg(
-        F.max(F.when(lower.between(first, last), exact)).alias("_low"),
-        F.max(F.when(upper.between(first, last), exact)).alias("_high"),
-    )
-    part = F.col("_rank") - F.floor("_rank")
-    return picked.select(
-        "feature", "prob",
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * part).alias("value"))
+    # a row holds the ranks cum_n - n .. cum_n - 1; each wanted rank lies in one row
+    exact = ("CASE WHEN _inside = 1 THEN value "
+             "ELSE CAST(raise_error('quantile outside its bracket') AS DOUBLE) END")
+    wanted = []
+    for i, p in enumerate(probabilities):
+        rank = f"((total_n - 1D) * {p!r}D)"
+        for end in ("floor", "ceil"):
+            holds = f"{end}({rank}) BETWEEN cum_n - n AND cum_n - 1"
+            wanted.append(f"max(CASE WHEN {holds} THEN {exact} END) AS _{end}{i}")
+        wanted.append(f"max({rank} - floor({rank})) AS _part{i}")
+    wide = ranked.groupBy("feature").agg(*[F.expr(w) for w in wanted])
+    rows = ", ".join(
+        f"named_struct('prob', {p!r}D, 'value', _floor{i} + (_ceil{i} - _floor{i}) * _part{i})"
+        for i, p in enumerate(probabilities))
+    return wide.selectExpr("feature", f"inline(array({rows}))")
 
 
 def score_counts(df: DataFrame, keys: list[str], score: str, outcome: str) -> DataFrame:

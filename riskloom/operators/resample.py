@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numbers import gaussian, uniform
+from riskloom.functions.numbers import uniform
+from riskloom.functions.rowwise import number
 from riskloom.operators.neighbours import nearest_neighbours
 from riskloom.operators.split import split_thresholds
 from riskloom.schema import ID, TARGET
@@ -73,11 +76,20 @@ def stack_synthetic(encoded: DataFrame, synthetic: DataFrame) -> DataFrame:
 
 
 def _moments(df: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and population deviation per position of the array `x`."""
-    row = df.agg(*[F.avg(F.col("x")[i]).alias(f"a{i}") for i in range(width)],
-                 *[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(width)]).first()
-    return (np.array([row[f"a{i}"] for i in range(width)]),
-            np.array([row[f"s{i}"] for i in range(width)]))
+    """Mean and population deviation per position of the vector `v`."""
+    row = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("m")).select(
+        "m.mean", "m.variance", "m.count").first()
+    share = (row["count"] - 1) / row["count"]  # the summary divides by n - 1
+    return np.array(row["mean"]), np.sqrt(np.array(row["variance"]) * share)
+
+
+def _latent(j: int, mean: float, deviation: float, seed: int) -> str:
+    """Normal draw from two hashed uniforms of the row number."""
+    def uniform_text(salt: int) -> str:
+        return f"((pmod(xxhash64({salt}, id), {1 << 40}L) + 0.5D) / {float(1 << 40)!r}D)"
+
+    normal = f"sqrt(-2D * ln({uniform_text(seed + j)})) * cos({2 * math.pi!r}D * {uniform_text(seed + 7919 + j)})"
+    return f"{normal} * {number(deviation)} + {number(mean)} AS z{j}"
 
 
 def linear_generator(minority: DataFrame, width: int, wanted: int, seed: int = SEED):
@@ -88,33 +100,30 @@ def linear_generator(minority: DataFrame, width: int, wanted: int, seed: int = S
     component matrix (width x width at most) reach the driver.
     """
     spark = minority.sparkSession
-    rows = minority.count()
+    vectors = minority.select(array_to_vector("x").alias("v"))
+    rows = vectors.count()
     if rows < MIN_ROWS:
         return {"ran": False, "reason": "insufficient minority samples"}, None
-    centre, spread = _moments(minority, width)
+    centre, spread = _moments(vectors, width)
     spread = spread + 1e-8
-    scaled = minority.select(ID, F.array(*[
-        (F.col("x")[i] - F.lit(float(centre[i]))) / F.lit(float(spread[i])) for i in range(width)
-    ]).alias("x")).select(ID, array_to_vector("x").alias("_v"))
+    scaled = minority.selectExpr("array(" + ", ".join(
+        f"(x[{i}] - {number(c)}) / {number(d)}" for i, (c, d) in enumerate(zip(centre, spread))) + ") AS x"
+    ).select(array_to_vector("x").alias("_v"))
     latent = min(8, max(2, width // 3))
-    model = PCA(k=latent, inputCol="_v", outputCol="_z").fit(scaled)
+    model = PCA(k=latent, inputCol="_v", outputCol="v").fit(scaled)
     basis = model.pc.toArray()  # width x latent
-    projected = model.transform(scaled).select(vector_to_array("_v").alias("v"), vector_to_array("_z").alias("x"))
-    mean, deviation = _moments(projected, latent)
-
-    def square(name: str) -> Column:
-        return F.aggregate(F.transform(name, lambda t: t * t), F.lit(0.0), lambda a, b: a + b)
-
-    lost = projected.agg((F.avg(square("v")) - F.avg(square("x"))) / F.lit(float(width))).first()[0]
-    z = [(gaussian(seed + j, F.col("id")) * F.lit(float(deviation[j] + 1e-8)) + F.lit(float(mean[j])))
-         .alias(f"z{j}") for j in range(latent)]
-    back = []
-    for i in range(width):
-        value = F.lit(0.0)
-        for j in range(latent):
-            value = value + F.col(f"z{j}") * F.lit(float(basis[i, j]))
-        back.append(value * F.lit(float(spread[i])) + F.lit(float(centre[i])))
-    synthetic = spark.range(wanted).select("id", *z).select("id", F.array(*back).alias("x"))
+    projected = model.transform(scaled)
+    mean, deviation = _moments(projected.select("v"), latent)
+    lengths = projected.select(Summarizer.normL2(F.col("_v")).alias("a"), Summarizer.normL2(F.col("v")).alias("b")).first()
+    lost = (np.square(np.array(lengths["a"])).sum() - np.square(np.array(lengths["b"])).sum()) / (rows * width)
+    back = [
+        "(" + " + ".join(f"z{j} * {number(w)}" for j, w in enumerate(basis[i]))
+        + f") * {number(spread[i])} + {number(centre[i])}"
+        for i in range(width)
+    ]
+    synthetic = spark.range(wanted).selectExpr(
+        "id", *[_latent(j, mean[j], deviation[j] + 1e-8, seed) for j in range(latent)]
+    ).selectExpr("id", f"array({', '.join(back)}) AS x")
     summary = {"ran": True, "recon_mse": float(lost), "latent_dim": latent,
                "n_synthetic": wanted, "n_real_minority": rows}
     return summary, synthetic
@@ -141,11 +150,10 @@ def make_array_valid(df: DataFrame, width: int, blocks: list[list[int]], flags:
 
 def feature_moments(df: DataFrame, features: list[str], prefix: str) -> DataFrame:
     """(feature, <prefix>_mean, <prefix>_std) with the population deviation."""
-    wide = df.agg(*[F.struct(F.lit(f).alias("feature"),
-                             F.avg(F.col(f).cast("double")).alias(f"{prefix}_mean"),
-                             F.stddev_pop(F.col(f).cast("double")).alias(f"{prefix}_std")).alias(f)
+    wide = df.agg(*[F.expr(f"""named_struct('feature', '{f}', '{prefix}_mean', avg(CAST(`{f}` AS DOUBLE)),
+                               '{prefix}_std', stddev_pop(CAST(`{f}` AS DOUBLE))) AS `{f}`""")
                     for f in features])
-    return wide.select(F.inline(F.array(*[F.col(f"`{f}`") for f in features])))
+    return wide.selectExpr("inline(array(" + ", ".join(f"`{f}`" for f in features) + "))")
 
 
 def compare_moments(real: DataFrame, synthetic: DataFrame, features: list[str]) -> DataFrame:
@@ -163,7 +171,7 @@ def compare_moments(real: DataFrame, synthetic: DataFrame, features: list[str])
 def correlation_matrix(df: DataFrame, features: list[str]) -> np.ndarray:
     """Pearson matrix (features x features); an undefined entry is 0."""
     assembled = VectorAssembler(inputCols=features, outputCol="_v").transform(
-        df.select(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]))
+        df.selectExpr(*[f"coalesce(CAST(`{f}` AS DOUBLE), 0D) AS `{f}`" for f in features]))
     matrix = Correlation.corr(assembled, "_v").first()[0].toArray()
     undefined = np.isnan(matrix)
     constant = undefined.sum(axis=1) >= max(len(features) - 1, 1)

@@ -88,7 +88,7 @@ def generator_study(train: DataFrame, wanted: int = 1500, prep: PipelineModel |
             [("ran", 0.0)], "metric string, value double")
 
     def named(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col("x")[i].alias(n) for i, n in enumerate(NUMERIC)])
+        return df.selectExpr(*[f"x[{i}] AS {n}" for i, n in enumerate(NUMERIC)])
 
     figures = [(k, float(v)) for k, v in summary.items()]
     return train.sparkSession.createDataFrame(figures, "metric string, value double").unionByName(
