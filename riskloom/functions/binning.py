@@ -51,14 +51,6 @@ def risk_band(column: Column, thresholds: dict[str, float]) -> Column:
     return bin_label(column, risk_edges(thresholds), RISK_BANDS, include_lowest=True)
 
 
-def band_number(band: Column) -> Column:
-    """1..4 for the four risk bands."""
-    chosen = F.when(band == RISK_BANDS[0], F.lit(1))
-    for number, label in enumerate(RISK_BANDS[1:], start=2):
-        chosen = chosen.when(band == label, F.lit(number))
-    return chosen
-
-
 def left_closed_age(column: Column) -> Column:
     """Reporting bands of the portfolio query, closed on the left."""
     return (

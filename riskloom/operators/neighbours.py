@@ -16,11 +16,10 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.directions import along, main_directions
 from riskloom.session import cut_lineage
 
 # tasks get these functions by value, so executors need no copy of the package
@@ -57,10 +56,8 @@ def _matrix(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(vectors: DataFrame, rows_per_block: int) -> DataFrame:
     """(ID, x, along, block): blocks follow the first principal component, ties by ID."""
-    as_vector = vectors.select("ID", "x", array_to_vector("x").alias("_v"))
-    component = PCA(k=1, inputCol="_v", outputCol="_pc").fit(as_vector)
-    placed = component.transform(as_vector).select(
-        "ID", "x", vector_to_array("_pc")[0].alias("along"))
+    direction = main_directions(vectors, "x", 1)[:, 0]
+    placed = vectors.selectExpr("ID", "x", f"{along('x', direction)} AS along")
     blocks = max(1, math.ceil(vectors.count() / rows_per_block))
     ranged = placed.repartitionByRange(blocks, "along", "ID")
     return cut_lineage(ranged.withColumn("block", F.spark_partition_id()))

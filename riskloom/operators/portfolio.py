@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.binning import (
-    AGE_EDGES, FAIRNESS_AGE_EDGES, UTILIZATION_EDGES, band_number, bin_label, bin_number,
+    AGE_EDGES, FAIRNESS_AGE_EDGES, UTILIZATION_EDGES, bin_label, bin_number,
     left_closed_age,
 )
 from riskloom.functions.numbers import half_up
@@ -218,7 +218,3 @@ def customer_card(scored: DataFrame, ids: DataFrame) -> DataFrame:
         "ID", "predicted_pd", "risk_band", "LIMIT_BAL", "UTIL_LATEST", "N_MONTHS_DELINQUENT",
         "MAX_DELINQUENCY",
         F.when(F.col("actual_default") == 1, "Defaulted").otherwise("No Default").alias("outcome"))
-
-
-def ordered_bands(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("band_no", band_number(F.col("risk_band")))

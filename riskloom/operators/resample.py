@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.directions import along, correlation_of, main_directions
 from riskloom.functions.numbers import uniform
 from riskloom.functions.rowwise import number
 from riskloom.operators.neighbours import nearest_neighbours
@@ -107,23 +108,24 @@ def linear_generator(minority: DataFrame, width: int, wanted: int, seed: int = S
     centre, spread = _moments(vectors, width)
     spread = spread + 1e-8
     scaled = minority.selectExpr("array(" + ", ".join(
-        f"(x[{i}] - {number(c)}) / {number(d)}" for i, (c, d) in enumerate(zip(centre, spread))) + ") AS x"
-    ).select(array_to_vector("x").alias("_v"))
+        f"(x[{i}] - {number(c)}) / {number(d)}" for i, (c, d) in enumerate(zip(centre, spread))) + ") AS v")
     latent = min(8, max(2, width // 3))
-    model = PCA(k=latent, inputCol="_v", outputCol="v").fit(scaled)
-    basis = model.pc.toArray()  # width x latent
-    projected = model.transform(scaled)
-    mean, deviation = _moments(projected.select("v"), latent)
-    lengths = projected.select(Summarizer.normL2(F.col("_v")).alias("a"), Summarizer.normL2(F.col("v")).alias("b")).first()
-    lost = (np.square(np.array(lengths["a"])).sum() - np.square(np.array(lengths["b"])).sum()) / (rows * width)
+    basis = main_directions(scaled, "v", latent)
+    projected = scaled.selectExpr("v", *[f"{along('v', basis[:, j])} AS z{j}" for j in range(latent)])
+    figures = projected.agg(
+        F.expr("sum(aggregate(v, 0D, (a, t) -> a + t * t)) AS total"),
+        *[F.expr(f"sum(z{j} * z{j}) AS kept{j}") for j in range(latent)],
+        *[F.expr(f"avg(z{j}) AS mean{j}") for j in range(latent)],
+        *[F.expr(f"stddev_pop(z{j}) AS std{j}") for j in range(latent)]).first()
+    lost = max(figures["total"] - sum(figures[f"kept{j}"] for j in range(latent)), 0.0) / (rows * width)
+    draws = [_latent(j, figures[f"mean{j}"], figures[f"std{j}"] + 1e-8, seed) for j in range(latent)]
     back = [
         "(" + " + ".join(f"z{j} * {number(w)}" for j, w in enumerate(basis[i]))
         + f") * {number(spread[i])} + {number(centre[i])}"
         for i in range(width)
     ]
     synthetic = spark.range(wanted).selectExpr(
-        "id", *[_latent(j, mean[j], deviation[j] + 1e-8, seed) for j in range(latent)]
-    ).selectExpr("id", f"array({', '.join(back)}) AS x")
+        "id", *draws).selectExpr("id", f"array({', '.join(back)}) AS x")
     summary = {"ran": True, "recon_mse": float(lost), "latent_dim": latent,
                "n_synthetic": wanted, "n_real_minority": rows}
     return summary, synthetic
@@ -172,12 +174,7 @@ def correlation_matrix(df: DataFrame, features: list[str]) -> np.ndarray:
     """Pearson matrix (features x features); an undefined entry is 0."""
     assembled = VectorAssembler(inputCols=features, outputCol="_v").transform(
         df.selectExpr(*[f"coalesce(CAST(`{f}` AS DOUBLE), 0D) AS `{f}`" for f in features]))
-    matrix = Correlation.corr(assembled, "_v").first()[0].toArray()
-    undefined = np.isnan(matrix)
-    constant = undefined.sum(axis=1) >= max(len(features) - 1, 1)
-    matrix[undefined] = 0.0
-    matrix[constant, constant] = 0.0
-    return matrix
+    return correlation_of(assembled, "_v")
 
 
 def distribution_diagnostics(real: DataFrame, synthetic: DataFrame, features: list[str]) -> DataFrame:

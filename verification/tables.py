@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import binning as B
-from riskloom.operators import audit, clean, explain, features, portfolio, scoring
+from riskloom.operators import audit, clean, explain, portfolio, scoring
 from riskloom.plans import warehouse as W
 from riskloom.schema import (
     ALL_FEATURES, BALANCE_FEATURES, COVERAGE_FEATURES, DELINQUENCY_FEATURES, EXPOSURE_FEATURES, ID,
