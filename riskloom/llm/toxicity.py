@@ -10,9 +10,10 @@ each, and scoring needs no landmark. A text scores as its most insulting word, t
 into a probability fitted on the labelled texts.
 
 Training takes at most `max_texts` texts of either label, in the order of a hash of the
-text (each distinct text once), at most `max_words` insults and 11 times as many other
-words; both bounds are parameters. An insult is a word seen in toxic texts in far more
-neighbourhoods than elsewhere, and more often than chance would have it. A word counts by its distinct neighbourhoods, so that near copies of one
+text (each distinct text once), at most `max_words` insults and 41 times as many other
+words; both bounds are parameters. An insult is a word seen in toxic texts far more
+often than elsewhere, and more often than chance would have it, by itself or with the
+words that begin like it. A word counts by texts and distinct neighbourhoods, so that near copies of one
 text don't lend weight to its rare words. Scoring reads whole texts.
 
 Defined cases: null and empty texts score as a text without words; words of over WIDTH
@@ -24,6 +25,7 @@ kind every text scores 0.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from itertools import combinations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.batches import Memo, append_columns, quoted
 
-DECAY, WIDTH, STRIDE, CLASSES, PENALTY, FIRST = 0.5, 24, 12, 64, 0.003, 4000
+DECAY, WIDTH, STRIDE, CLASSES, PENALTY, FIRST, CHANCE, STEM = 0.5, 24, 12, 64, 0.003, 4000, 0.3, 5
 _SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 _EDGES = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
@@ -183,7 +185,7 @@ def stripped(word: str) -> str:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_texts: int = 4000, max_words: int = 3000, landmarks: int = 256, seed: int = 11) -> ToxicityModel:
+          max_texts: int = 4000, max_words: int = 3000, landmarks: int = 384, seed: int = 11) -> ToxicityModel:
     """Fit on the labelled rows given; see the module text for the sample it takes."""
     known = (labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).cast("int").alias("y"))
              .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
@@ -191,34 +193,45 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     distinct = texts.select("id", F.xxhash64("text").alias("h")).join(known, "id").groupBy("h").agg(F.min("id").alias("id"), F.max("y").alias("y"))
     chosen = [distinct.where(F.col("y") == y).orderBy("h").limit(max_texts) for y in (0, 1)]
     sample = texts.join(chosen[0].union(chosen[1]).select("id", "y"), "id").select("y", F.lower("text").alias("text")).persist()
+    held = [sample]
     try:
         words = F.split(F.trim(F.regexp_replace("text", r"[\s\p{Punct}]+", " ")), " ")
         shifted = F.arrays_zip(words.alias("word"), F.concat(F.array(F.lit("")), words).alias("before"), F.slice(words, 2, 1 << 30).alias("after"))
-        near = (sample.select("y", F.inline(shifted)).where(F.length("word").between(3, WIDTH))
-                .select("y", "word", F.xxhash64("before", "after").alias("near")))
-        counts = (near.groupBy("word", "near").agg(F.max("y").alias("y")).groupBy("word")
+        near = (sample.select("y", F.xxhash64("text").alias("t"), F.inline(shifted)).where(F.length("word").between(3, WIDTH))
+                .select("y", "t", "word", F.xxhash64("before", "after").alias("near")))
+        counts = (near.groupBy("word", "near").agg(F.max("y").alias("y"), F.min("t").alias("t"))
+                  .groupBy("word", "t").agg(F.max("y").alias("y")).groupBy("word")
                   .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).persist())
+        held.append(counts)
+        stem = F.substring("word", 1, STEM)
+        stems = counts.groupBy(stem.alias("stem")).agg(F.sum("bad").alias("stem_bad"), F.sum("good").alias("stem_good"))
         sizes = dict(sample.groupBy("y").count().collect())
         if not sizes.get(0) or not sizes.get(1):
             return ToxicityModel(np.zeros(CLASSES**3, np.float32), 0.0, 0.0, float("-inf"))
-        odds, least = sizes[0] / sizes[1], max(2.0, 0.75 * sizes[1] ** 0.5)
-        insults = [tuple(r[:2]) for r in counts.where((F.col("bad") >= least) & (F.col("bad") * odds >= 8 * F.col("good")))
-                   .select("word", "bad").orderBy(F.desc("bad"), "word").limit(max_words).collect()]
+        # So often that fewer than CHANCE words would be seen in toxic texts alone by chance.
+        odds, share = sizes[0] / sizes[1], sizes[1] / (sizes[0] + sizes[1])
+        least = max(2.0, math.log(max(counts.count(), 1) / CHANCE) / -math.log(share))
+        known = counts.join(stems, stem == F.col("stem")).persist()
+        held.append(known)
+        sure = lambda bad, good: (F.col(bad) >= least) & (F.col(bad) * odds >= 8 * F.col(good))
+        odd = (F.col("bad") * odds >= 8 * F.col("good")) & (sure("bad", "good") | sure("stem_bad", "stem_good"))
+        insults = [tuple(r) for r in known.where(odd).select("word", "bad").orderBy(F.desc("bad"), "word").limit(max_words).collect()]
         common = [r[0] for r in counts.where(F.col("good") >= 1).orderBy(F.desc("good"), "word").limit(max_words).collect()]
-        rare = [r[0] for r in counts.where(F.col("bad") * odds < 8 * F.col("good")).orderBy(F.xxhash64("word")).limit(10 * max_words).collect()]
+        rare = [r[0] for r in known.where(~odd).orderBy(F.xxhash64("word")).limit(40 * max_words).collect()]
         model = fit(insults, [w for w in {**dict.fromkeys(common), **dict.fromkeys(rare)} if w not in dict(insults)], landmarks, seed)
         if model is None:
             return ToxicityModel(np.zeros(CLASSES**3, np.float32), 0.0, 0.0, float("-inf"))
         scored = append_columns(sample, "text", lambda: _margins(model), "margin double", ["y"])
         seen = np.array(scored.orderBy("margin", "y").collect(), dtype=float)
     finally:
-        sample.unpersist()
+        for table in held:
+            table.unpersist()
     model.slope, model.offset = _platt(seen[:, 1], seen[:, 0])
     return model
 
 
 def fit(insults: list[tuple[str, int]], others: list[str], landmarks: int, seed: int) -> ToxicityModel | None:
-    """SVM on words, fitted again with the most insult-like of the other words.
+    """SVM on words, fitted twice more with the most insult-like of the other words.
 
     Insults weigh by how often they were seen; some words of either kind also come with inserted characters.
     """
@@ -229,7 +242,11 @@ def fit(insults: list[tuple[str, int]], others: list[str], landmarks: int, seed:
     seen = dict(insults)
     pairs = [(w, seen[o] / 4) for o in list(seen)[:300] for w in disturbed([o], rng, fill) if len(w) <= WIDTH] + insults
     half = min(landmarks // 2, len(insults))
-    pivots = [*list(seen)[:half], *[others[i] for i in rng.permutation(len(others))[: landmarks - half]]]
+    stems: dict[str, str] = {}
+    for word in seen:  # one landmark per beginning first, then the others
+        stems.setdefault(word[:STEM], word)
+    pivots = [*dict.fromkeys([*stems.values(), *seen])][:half]
+    pivots = [*pivots, *[others[i] for i in rng.permutation(len(others))[: landmarks - half]]]
     rows_of, table = landmark_table(pivots)
     values, vectors = np.linalg.eigh(table.T @ table)
     white = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0)
@@ -241,15 +258,16 @@ def fit(insults: list[tuple[str, int]], others: list[str], landmarks: int, seed:
     heavy = np.sqrt([n for _, n in pairs])
     bad = features([w for w, _ in pairs])
     good, rest = others[:FIRST] + [w for w in disturbed(others[:FIRST:8], rng, fill) if len(w) <= WIDTH], others[FIRST:]
-    for last in (False, True):
+    for last in (False, False, True):
         labels = np.r_[np.ones(len(bad)), -np.ones(len(good))]
         share = np.r_[heavy * (1 / heavy.sum()), np.full(len(good), 4 / len(good))]
         w, bias = svm(np.r_[bad, features(good)], labels, share * 1000, PENALTY)
         model = ToxicityModel((table @ (white @ w))[rows_of].astype(np.float32), bias, 1.0, 0.0)
         if last or not rest:
             return model
-        hardest = np.argsort(-decisions(rest, model.weights, model.bias), kind="stable")[:FIRST]
-        good += [rest[i] for i in hardest]
+        order = np.argsort(-decisions(rest, model.weights, model.bias), kind="stable")
+        good += [rest[i] for i in order[:FIRST]]
+        rest = [rest[i] for i in order[FIRST:]]
     return model
 
 
