@@ -39,6 +39,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def hashed_sample(df: DataFrame, text: str, rows: int) -> DataFrame:
+    """About `rows` distinct values of a text column, as a table of that one column; all of them where there are fewer.
+
+    Values whose hash lies below a share of its range, so nothing is sorted or gathered,
+    and copies of one text collapse before the shuffle.
+    """
+    own = df.select(F.col(quoted(text)).alias(text)).where(F.col(quoted(text)).isNotNull())
+    code = F.xxhash64(quoted(text))
+    distinct = own.agg(F.approx_count_distinct(code)).first()[0]
+    return own.where(F.pmod(code, F.lit(1 << 32)) < int(min(1.0, rows / max(distinct, 1)) * (1 << 32))).dropDuplicates([text])
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of the batch with about SLICE_BYTES of text each."""
     lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0))

@@ -6,8 +6,8 @@ over the positions of all its words that hold a letter. States begin anew with e
 (with its border bytes), so equal words have equal positions and are computed once while
 they are remembered; every position of the text counts all the same.
 
-Trained in numpy by backpropagation through time with Adam, on the words of at most
-`max_texts` texts per language (in the order of a hash); all bounds are parameters.
+Trained in numpy by backpropagation through time with Adam, on the words of about
+`max_texts` distinct texts per language (by a hash); all bounds are parameters.
 
 Defined cases: null texts and texts without a letter are "und" with score 0; words longer
 than WIDTH bytes are read in parts; case is folded; ties go to the first language in
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.batches import Memo, append_columns, quoted
+from riskloom.llm.batches import Memo, append_columns, hashed_sample, quoted
 
 WIDTH = 24
 UNKNOWN = "und"
@@ -140,13 +140,13 @@ def fit(words: list[bytes], labels: np.ndarray, classes: int, hidden: int = 16,
 
 
 def train(df: DataFrame, text: str, language: str, max_texts: int = 400, words_per_text: int = 60, steps: int = 800, hidden: int = 16) -> ByteGru:
-    """Fit on the rows given: words at even distances of at most `max_texts` texts per language."""
+    """Fit on the rows given: words at even distances of about `max_texts` texts per language."""
     own = df.select(F.col(quoted(text)).alias("t"), F.col(quoted(language)).alias("l")).where("t is not null and l is not null")
     languages = [r[0] for r in own.select("l").distinct().orderBy("l").collect()]
     lists, labels = [], []
     for k, name in enumerate(languages):
         split = F.filter(F.split(F.lower("t"), r"\s+"), lambda w: w.rlike(r"\p{L}"))
-        rows = own.where(F.col("l") == name).orderBy(F.xxhash64("t"), "t").limit(max_texts).select(split.alias("w")).select(
+        rows = hashed_sample(own.where(F.col("l") == name), "t", max_texts).orderBy("t").select(split.alias("w")).select(
             F.filter("w", lambda w, i: i % F.greatest(F.ceil(F.size("w") / words_per_text), F.lit(1)) == 0).alias("w")).collect()
         words = [w.encode("utf-8", "surrogatepass")[:WIDTH] for r in rows for w in r[0]]
         lists.append(words)

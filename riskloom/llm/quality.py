@@ -6,8 +6,8 @@ rejections per second, and a text leaves at the first rule that rejects it. The
 doesn't depend on the order, only the time and the reported reason do. Measures that
 several rules share are taken once a text.
 
-Words are runs of bytes other than blank and \\x09 to \\x0D. The sample is at most
-`sample_rows` texts, in the order of a hash.
+Words are runs of bytes other than blank and \\x09 to \\x0D. The sample is about
+`sample_rows` distinct texts, chosen by a hash.
 
 Defined cases: a null text has no words, lines or symbols; so has an empty one, and both
 fail the rule on too few words. A rule sees whole texts.
@@ -21,9 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from riskloom.llm.batches import append_columns, quoted
+from riskloom.llm.batches import append_columns, hashed_sample, quoted
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -115,7 +114,7 @@ class Estimate:
 
 def estimate(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = 500) -> list[Estimate]:
     """Cost and selectivity of each rule on a bounded sample, best rejections per second first."""
-    rows = df.select(F.col(quoted(text)).alias("t")).where("t is not null").orderBy(F.xxhash64("t")).limit(sample_rows).collect()
+    rows = hashed_sample(df, text, sample_rows).collect()
     texts = [r[0].encode("utf-8", "surrogatepass") for r in rows]
     out = []
     for rule in rules:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.batches import quoted
+from riskloom.llm.batches import hashed_sample, quoted
 
 ALPHABET = 128
 #: The base patterns (fixed values of the task): kind, pattern with the part to judge as a group, its least length.
@@ -99,16 +99,15 @@ def train(samples: DataFrame, token: str = "token", random: str = "random", thre
 
 
 def labelled_tokens(docs: DataFrame, text_col: str = "text", rows: int = 4000) -> DataFrame:
-    """Labelled sample from `rows` texts (in the order of a hash): values of base matches are random strings,
+    """Labelled sample from about `rows` distinct texts of either kind (by a hash): values of base matches are random strings,
     letter tokens of 6 characters or more elsewhere are ordinary."""
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     sure = docs.select(text.alias("t")).where(F.col("t").rlike(f"{ASSIGN}|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}"))
-    some = lambda d: d.orderBy(F.xxhash64("t")).limit(rows)
     values = F.concat(F.regexp_extract_all("t", F.lit(f"{ASSIGN}([A-Za-z0-9+/_=-]{{12,}})"), F.lit(1)),
                       F.regexp_extract_all("t", F.lit("AKIA[A-Z0-9]{16,}"), F.lit(0)), F.regexp_extract_all("t", F.lit("[0-9a-f]{24,}"), F.lit(0)))
-    random = some(sure).select(F.explode(values).alias("token")).distinct().select("token", F.lit(True).alias("random"))
+    random = hashed_sample(sure, "t", rows).select(F.explode(values).alias("token")).distinct().select("token", F.lit(True).alias("random"))
     letters = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]+(?:[_-][A-Za-z]+)*(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    plain = some(docs.select(text.alias("t"))).select(F.explode(letters).alias("token")).where("length(token) >= 6").select("token", F.lit(False).alias("random"))
+    plain = hashed_sample(docs.select(text.alias("t")), "t", rows).select(F.explode(letters).alias("token")).where("length(token) >= 6").select("token", F.lit(False).alias("random"))
     return random.union(plain)
 
 

@@ -9,8 +9,8 @@ in them; its decision value therefore is a sum over a word's subsequences of one
 each, and scoring needs no landmark. A text scores as its most insulting word, turned
 into a probability fitted on the labelled texts.
 
-Training takes at most `max_texts` texts of either label, in the order of a hash of the
-text (each distinct text once), at most `max_words` insults and 41 times as many other
+Training takes about `max_texts` texts of either label, chosen by a hash of the text (each
+distinct text once), at most `max_words` insults and 41 times as many other
 words; both bounds are parameters. An insult is a word seen in toxic texts far more
 often than elsewhere, and more often than chance would have it, by itself or with the
 words that begin like it. A word counts by texts and distinct neighbourhoods, so that near copies of one
@@ -191,8 +191,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
     texts = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")).where("text is not null and text != ''")
     distinct = texts.select("id", F.xxhash64("text").alias("h")).join(known, "id").groupBy("h").agg(F.min("id").alias("id"), F.max("y").alias("y"))
-    chosen = [distinct.where(F.col("y") == y).orderBy("h").limit(max_texts) for y in (0, 1)]
-    sample = texts.join(chosen[0].union(chosen[1]).select("id", "y"), "id").select("y", F.lower("text").alias("text")).persist()
+    found = dict(distinct.groupBy("y").count().collect())
+    share = [int(min(1.0, max_texts / max(found.get(y, 0), 1)) * (1 << 32)) for y in (0, 1)]
+    chosen = distinct.where(F.pmod("h", F.lit(1 << 32)) < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
+    sample = texts.join(chosen.select("id", "y"), "id").select("y", F.lower("text").alias("text")).persist()
     held = [sample]
     try:
         words = F.split(F.trim(F.regexp_replace("text", r"[\s\p{Punct}]+", " ")), " ")
