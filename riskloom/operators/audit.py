@@ -128,9 +128,12 @@ def audit_negative_bills(df: DataFrame) -> DataFrame:
 
 
 def audit_ids(df: DataFrame) -> DataFrame:
-    """Distinct IDs, extremes, and whether the IDs are exactly 1..n."""
+    """Distinct IDs, extremes, and whether the IDs are exactly 1..n; a table without IDs has NULL figures."""
+    known = ID in df.columns
+    if not known:
+        df = df.select(F.lit(None).cast("long").alias(ID))
     stats = df.agg(
-        F.count_distinct(ID).alias("n_unique_ids"), F.count(F.lit(1)).alias("n_rows"),
+        (F.count_distinct(ID) if known else F.max(ID)).alias("n_unique_ids"), F.count(F.lit(1)).alias("n_rows"),
         F.min(ID).cast("long").alias("id_min"), F.max(ID).cast("long").alias("id_max"))
     sequential = ((F.col("n_unique_ids") == F.col("n_rows")) & (F.col("id_min") == 1)
                   & (F.col("id_max") == F.col("n_rows")))
@@ -200,6 +203,8 @@ def record_problems(df: DataFrame) -> DataFrame:
     """Add `problems`: the names of the broken rules of each record, empty if valid."""
     required = account_schema(target=None).fieldNames()
     rules = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in required]
+    money = [f.name for f in account_schema(target=None).fields if f.dataType == T.DoubleType()]
+    rules += [F.when(F.isnan(c), F.lit(f"{c} not a number")) for c in money]
     rules.append(F.when(F.col("LIMIT_BAL") <= 0, F.lit("LIMIT_BAL not positive")))
     rules += [F.when(~F.col(c).between(low, high), F.lit(f"{c} out of range"))
               for c, (low, high) in CODE_RANGES.items()]

@@ -106,7 +106,7 @@ def prompt_rows(conversations: DataFrame, context: DataFrame, turns: int = PROMP
     `row_number() <= k` is applied per task before the shuffle, so a conversation
     of any length sends only k rows per task. `context` is one row with `context`.
     """
-    newest = Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("role"))
+    newest = Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("role"), F.desc("text"))
     recent = conversations.select("conv_id", "turn", "role", "text").withColumn(
         "_back", F.row_number().over(newest)).filter(F.col("_back") <= turns)
     lines = recent.groupBy("conv_id").agg(

@@ -39,6 +39,13 @@ def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
 
 
+def _json_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The account columns, and the outcome under the spelling that the records have."""
+    names = spark.read.option("primitivesAsString", True).json(path).columns
+    outcome = [T.StructField(c, T.IntegerType()) for c in [TARGET, *TARGET_SPELLINGS] if c in names]
+    return T.StructType([*account_schema(target=None).fields, *outcome])
+
+
 def read_accounts(spark: SparkSession, path: str | None = None, default: str | None = None) -> DataFrame:
     """Raw accounts from CSV (with header), JSON lines or Parquet, explicit types."""
     source = resolve_path(spark, path, default)
@@ -48,7 +55,7 @@ def read_accounts(spark: SparkSession, path: str | None = None, default: str | N
         return spark.read.schema(_csv_schema(spark, source)).option("header", True).option(
             "enforceSchema", False).csv(source)
     if lowered.endswith((".json", ".jsonl")):
-        return read_records(spark, source)
+        return spark.read.schema(_json_schema(spark, source)).json(source)
     return spark.read.parquet(source)
 
 

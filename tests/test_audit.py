@@ -82,3 +82,22 @@ def test_cleaning_keeps_the_row_count(spark):
     df = accounts(spark, *[dict(ID=i, EDUCATION=i % 7, MARRIAGE=i % 4) for i in range(20)])
     assert clean_accounts(df).count() == df.count() == 20
     assert clean_accounts(df).filter(F.col("EDUCATION").isin(0, 5, 6)).count() == 0
+
+
+def test_nan_money_is_quarantined(spark):
+    rows = accounts(spark, {}, {"ID": 2}).withColumn("LIMIT_BAL", F.when(F.col("ID") == 1, float("nan")).otherwise(F.col("LIMIT_BAL")))
+    found = [r["problems"] for r in audit.record_problems(rows).collect()]
+    assert ["LIMIT_BAL not a number" in p for p in found].count(True) == rows.filter("ID = 1").count() > 0
+
+
+def test_ids_of_a_table_without_them(spark):
+    row = audit.audit_ids(spark.createDataFrame([("a",), ("b",)], "v string")).first()
+    assert (row["n_unique_ids"], row["n_rows"], row["id_min"], row["id_is_sequential"]) == (None, 2, None, 0)
+
+
+def test_json_lines_keep_the_outcome(spark, tmp_path):
+    from riskloom.sources.accounts import read_accounts
+
+    raw = accounts(spark, {}, {"ID": 2}).withColumn(TARGET, F.lit(1))
+    raw.write.json(f"{tmp_path}/accounts.json")
+    assert [r[TARGET] for r in read_accounts(spark, f"{tmp_path}/accounts.json").collect()] == [1, 1]

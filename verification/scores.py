@@ -326,7 +326,7 @@ def sc6_prompts(spark, d):
 register("sc6_prompt_rows", sc6_prompts, _with(FEATURES, r"""
     SELECT conv_id, COUNT(*) AS n_turns, string_agg(role || ': ' || text, chr(10) ORDER BY turn, role, text) AS history,
            (SELECT '{"total_customers":' || COUNT(*) || ',"total_defaulters":' || SUM(default_next_month) || '}' FROM feat) AS context
-    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC) AS back FROM conversations)
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back FROM conversations)
     WHERE back <= 10 GROUP BY conv_id"""))
 
 
