@@ -170,7 +170,7 @@ def _document(model: ByteGru):
             store[0], store[1] = np.zeros((0, classes), np.float32), 0
         pieces, owner = [], []
         for k, word in enumerate(words):
-            if _LETTER.search(word):
+            if classes and _LETTER.search(word):
                 raw = word.encode("utf-8", "surrogatepass")
                 for i in range(0, len(raw), WIDTH):
                     pieces.append(raw[i : i + WIDTH])
@@ -178,7 +178,7 @@ def _document(model: ByteGru):
         sums = np.zeros((len(words), classes), np.float32)
         sizes = np.array([len(p) for p in pieces], np.int64)
         order, owner = np.argsort(sizes, kind="stable"), np.array(owner, np.int64)
-        for start in range(0, len(order), 2048):
+        for start in range(0, len(order) if classes else 0, 2048):
             part = order[start : start + 2048]
             codes, lengths = padded([pieces[i] for i in part])
             np.add.at(sums, owner[part], positions(codes, lengths, model.params).sum(axis=1))
