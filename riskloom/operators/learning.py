@@ -158,7 +158,7 @@ class CalibratedModel:
         parts = []
         for i, (model, curve) in enumerate(self.pairs):
             name = f"_part{i}"
-            df = model.transform(df).select(*kept, *parts, probability().alias("_score"))
+            df = model.transform(df).select(*kept, *parts, micro(probability()).alias("_score"))
             df = curve.transform(df).select(*kept, *parts, F.col("_calibrated").alias(name))
             parts.append(F.col(name))
         mean = sum(parts[1:], parts[0]) / F.lit(float(len(parts)))
@@ -168,8 +168,9 @@ class CalibratedModel:
 def fit_isotonic(scored: DataFrame, score: str = "_score"):
     """Monotone curve from score to observed rate.
 
-    Scores are counted at six decimals first, so the curve is fitted on at most
-    a million weighted points whatever the size of the fold; equal scores are
+    The curve's resolution is six decimals: scores are counted at that many before
+    the fit and are read at that many by `CalibratedModel`, so at most a million
+    weighted points are fitted whatever the size of the fold. Equal scores are
     pooled by isotonic regression anyway.
     """
     points = scored.groupBy(micro(F.col(score)).alias("_score")).agg(

@@ -48,27 +48,27 @@ def running_totals(counts: DataFrame, value: str, measures: list[str],
 
 def _brackets(df: DataFrame, columns: list[str], probabilities: list[float],
               accuracy: int) -> DataFrame:
-    """Per column: row count and, per probability, two values that enclose the
+    """Per column and probability, two values that enclose the
     exact quantile. The sketch errs by at most 1/accuracy in rank; the margin is
-    four times that. Tables smaller than `accuracy` rows are not bracketed."""
-    margin = 4.0 / accuracy
-    probes = ", ".join(
-        [f"{max(p - margin, 0.0)!r}D" for p in probabilities]
-        + [f"{min(p + margin, 1.0)!r}D" for p in probabilities])
+    four times that, and two rows more for the ranks between which a quantile is
+    interpolated. It is the same rule for tables of any size."""
+    sizes = df.agg(*[F.expr(f"count(`{c}`) AS `{c}`") for c in columns]).first()
+
+    def probes(c: str) -> str:
+        margin = 4.0 / accuracy + 2.0 / max(sizes[c], 1)
+        return ", ".join(
+            [f"{max(p - margin, 0.0)!r}D" for p in probabilities]
+            + [f"{min(p + margin, 1.0)!r}D" for p in probabilities])
+
     one_row = df.agg(*[
-        F.expr(f"""named_struct('feature', '{c}', '_rows', CAST(count(`{c}`) AS DOUBLE), '_at',
-                   percentile_approx(CAST(`{c}` AS DOUBLE), array({probes}), {accuracy})) AS `{c}`""")
+        F.expr(f"""named_struct('feature', '{c}', '_at',
+                   percentile_approx(CAST(`{c}` AS DOUBLE), array({probes(c)}), {accuracy})) AS `{c}`""")
         for c in columns
     ])
     listed = ", ".join(f"`{c}`" for c in columns)
     n = len(probabilities)
     return one_row.selectExpr(f"inline(array({listed}))").selectExpr(
-        "feature", "_rows",
-        *[f"CASE WHEN _rows < {accuracy} THEN double('-inf') ELSE _at[{i}] END AS _lo{i}"
-          for i in range(n)],
-        *[f"CASE WHEN _rows < {accuracy} THEN double('inf') ELSE _at[{n + i}] END AS _hi{i}"
-          for i in range(n)],
-    )
+        "feature", *[f"_at[{i}] AS _lo{i}" for i in range(n)], *[f"_at[{n + i}] AS _hi{i}" for i in range(n)])
 
 
 def _fold_outside(values: DataFrame, n: int) -> DataFrame:
@@ -89,8 +89,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
                     accuracy: int = 10000) -> DataFrame:
     """Exact quantiles, linearly interpolated, NULLs left out: (feature, prob, value).
 
-    Reads the input twice: once for a sketch that encloses each quantile, once to
-    count exactly. Give it a stored table rather than a long computation.
+    Reads the input three times: for the number of values, for a sketch that encloses
+    each quantile, and to count exactly. Give it a stored table rather than a long
+    computation.
     """
     n = len(probabilities)
     brackets = _brackets(df, columns, probabilities, accuracy)

@@ -49,10 +49,28 @@ def _score_encoded(classifier, encoded: DataFrame, label: str) -> DataFrame:
         F.col(TARGET).cast("int").alias(TARGET))
 
 
+def _with_refused(done: DataFrame, refused: list[tuple[dict[str, str], str]]) -> DataFrame:
+    """Result rows marked as run, and for each refused variant a row without figures that gives the reason."""
+    rows = done.withColumns({"ran": F.lit(True), "reason": F.lit(None).cast("string")})
+    for labels, reason in refused:
+        known = {c: F.lit(v) for c, v in labels.items()} | {"ran": F.lit(False), "reason": F.lit(reason)}
+        rows = rows.unionByName(done.sparkSession.range(1).select(
+            *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]))
+    return rows
+
+
 def imbalance_study(train: DataFrame, test: DataFrame, prep: PipelineModel | None = None) -> DataFrame:
-    """Logistic regression (C = 1) without treatment, with class weights, with SMOTE."""
+    """Logistic regression (C = 1) without treatment, with class weights, with SMOTE.
+
+    With too few minority rows for SMOTE its row says `ran` = false and why.
+    """
     prep = prep or learning.fit_preprocessor(train)
     fold, held_out = learning.encode(prep, train), learning.encode(prep, test)
+    strategies, refused = ["smote", "none", "class_weight"], []
+    minority = resample.class_sizes(fold)[1]
+    if minority <= resample.NEIGHBOURS:
+        strategies.remove("smote")
+        refused = [({"strategy": "smote"}, f"{minority} minority rows, need more than {resample.NEIGHBOURS}")]
 
     def strategy_scores(strategy: str) -> DataFrame:
         rows = fold
@@ -63,12 +81,12 @@ def imbalance_study(train: DataFrame, test: DataFrame, prep: PipelineModel | Non
         return _score_encoded(classifier, held_out, strategy)
 
     scores = reduce(DataFrame.unionByName, at_once(
-        train.sparkSession, strategy_scores, ["smote", "none", "class_weight"]))
+        train.sparkSession, strategy_scores, strategies))
     result = metrics.full_metrics(scores, "predicted_pd", TARGET, ["model"], strict=True)
-    return result.select(
+    return _with_refused(result.select(
         F.col("model").alias("strategy"), "roc_auc", "pr_auc",
         F.col("precision").alias("precision_minority"), F.col("recall").alias("recall_minority"),
-        F.col("f1").alias("f1_minority"))
+        F.col("f1").alias("f1_minority")), refused)
 
 
 def encoded_minority(train: DataFrame, prep: PipelineModel, width: int) -> DataFrame:
@@ -98,7 +116,8 @@ def generator_study(train: DataFrame, wanted: int = 1500, prep: PipelineModel |
 def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CANDIDATES,
                         prep: PipelineModel | None = None) -> DataFrame:
     """Every classifier on the original and on the synthetically balanced fold,
-    without class weights, measured on the same test fold."""
+    without class weights, measured on the same test fold. Where the generator
+    refuses, the rows of the balanced fold say `ran` = false and why."""
     prep = prep or learning.fit_preprocessor(train)
     features = learning.feature_names(prep)
     width = len(features)
@@ -106,8 +125,10 @@ def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CA
     majority, minority = resample.class_sizes(fold)
     real = encoded_minority(train, prep, width)
     summary, generated = resample.linear_generator(real, width, majority - minority)
-    variants = {"none (baseline)": fold}
-    if summary["ran"]:
+    variants, refused = {"none (baseline)": fold}, []
+    if not summary["ran"]:
+        refused = [({"model": name, "strategy": "synthetic_balanced"}, summary["reason"]) for name in names]
+    else:
         valid = resample.make_array_valid(
             generated, width, list(learning.one_hot_blocks(prep).values()),
             [features.index(f) for f in FLAGS])
@@ -120,8 +141,8 @@ def balanced_retraining(train: DataFrame, test: DataFrame, names: list[str] = CA
 
     tasks = [(strategy, name) for name in reversed(names) for strategy in variants]
     parts = reduce(DataFrame.unionByName, at_once(train.sparkSession, scores, tasks, threads=6))
-    return metrics.full_metrics(parts, "predicted_pd", TARGET, ["model", "strategy"]).select(
-        "model", "strategy", "roc_auc", "pr_auc", "recall", "precision", "f1")
+    return _with_refused(metrics.full_metrics(parts, "predicted_pd", TARGET, ["model", "strategy"]).select(
+        "model", "strategy", "roc_auc", "pr_auc", "recall", "precision", "f1"), refused)
 
 
 def comparison_with_earlier(retraining: DataFrame, imbalance: DataFrame) -> DataFrame:
@@ -129,7 +150,7 @@ def comparison_with_earlier(retraining: DataFrame, imbalance: DataFrame) -> Data
     earlier = imbalance.filter(F.col("strategy").isin("class_weight", "smote")).select(
         F.lit("logistic_regression").alias("model"), "strategy", "roc_auc", "pr_auc",
         F.col("recall_minority").alias("recall"), F.col("precision_minority").alias("precision"),
-        F.col("f1_minority").alias("f1"))
+        F.col("f1_minority").alias("f1"), "ran", "reason")
     return retraining.unionByName(earlier)
 
 

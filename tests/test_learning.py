@@ -157,3 +157,12 @@ def test_best_model_and_comparison(spark):
     assert metrics.best_model(rows).first()["model"] == "b"
     table = metrics.comparison_table(rows, ["roc_auc", "pr_auc"])
     assert table.columns == ["metric", "a", "b"] and table.count() == 2
+
+
+def test_studies_say_what_they_could_not_run(train, test, prep):
+    few = train.filter(F.col(TARGET) == 0).unionByName(train.filter(F.col(TARGET) == 1).orderBy(ID).limit(4))
+    rows = {r["strategy"]: r for r in training.imbalance_study(few, test, prep).collect()}
+    assert set(rows) == {"none", "class_weight", "smote"} and rows["none"]["ran"] and rows["none"]["reason"] is None
+    assert not rows["smote"]["ran"] and rows["smote"]["roc_auc"] is None and "4 minority rows" in rows["smote"]["reason"]
+    again = {r["strategy"]: r for r in training.balanced_retraining(few, test, ["logistic_regression"], prep).collect()}
+    assert again["none (baseline)"]["ran"] and not again["synthetic_balanced"]["ran"]

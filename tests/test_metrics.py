@@ -96,6 +96,14 @@ def test_quantiles_equal_numpy(spark, accuracy):
         assert r["value"] == pytest.approx(np.quantile(data[r["feature"]], r["prob"]), abs=1e-12), r
 
 
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 30_000])
+def test_quantiles_are_exact_at_any_size(spark, rows):
+    values = np.random.default_rng(rows).lognormal(size=rows)
+    probabilities = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = exact_quantiles(spark.createDataFrame([(float(v),) for v in values], "v double"), ["v"], probabilities).collect()
+    assert {r["prob"]: r["value"] for r in found} == pytest.approx(dict(zip(probabilities, np.quantile(values, probabilities))))
+
+
 def psi_by_numpy(expected, actual):
     points = np.quantile(expected, np.linspace(0, 1, 11))
     points[0], points[-1] = -np.inf, np.inf

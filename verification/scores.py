@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import association, drift, explain, metrics, portfolio, resample, scoring
 from riskloom.operators.split import class_weights, split_summary, stratified_split
-from riskloom.operators.learning import medians, numeric_statistics
+from riskloom.operators.learning import fit_preprocessor, medians
 from riskloom.plans import training, warehouse as W
 from riskloom.schema import ID, NUMERIC, TARGET
 from riskloom.session import cut_lineage, scratch_path
@@ -219,20 +219,18 @@ register("l1_stratified_split", lambda s, d: stratified_split(W.customers(s, d))
          _with(SCORED, "SELECT ID, default_next_month, fold FROM pop"))
 register("l2_medians", lambda s, d: six(medians(W.train_fold(s, d))), _with(SCORED, " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {sql_six(f'quantile_cont({c}, 0.5)')} AS median FROM train" for c in NUMERIC)))
-_SCALED = ["LIMIT_BAL", "AGE", "UTIL_AVG", "PAYCOV_AVG", "PAYCOV_TREND", "BILL_TREND"]
 
 
 def l3_scaled(spark, d):
+    """All numeric columns through the scaling stage of the fitted preprocessor."""
     train = W.train_fold(spark, d)
-    numbers = numeric_statistics(train, _SCALED)
-    return six(train.select(ID, *[
-        ((F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(a)) / F.lit(s)).alias(c)
-        for c, (m, a, s) in numbers.items()]))
+    scaled = fit_preprocessor(train).stages[0].transform(train)
+    return six(scaled.select(ID, *[F.col(f"z_{c}").alias(c) for c in NUMERIC]))
 
 
-_FILLED = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM train)) AS {c}" for c in _SCALED)
+_FILLED = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM train)) AS {c}" for c in NUMERIC)
 register("l3_standardized", l3_scaled, _with(SCORED + f", filled AS (SELECT ID, {_FILLED} FROM train)", "SELECT ID, " + ", ".join(
-    f"{sql_six(f'({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER ()')} AS {c}" for c in _SCALED) + " FROM filled"))
+    f"{sql_six(f'({c} - AVG({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)')} AS {c}" for c in NUMERIC) + " FROM filled"))
 register("l9_class_weights", lambda s, d: six(class_weights(W.train_fold(s, d))), _with(SCORED, f"""
     SELECT actual_default AS class, COUNT(*) AS n, {sql_six("(SELECT COUNT(*) FROM train) / (2.0 * COUNT(*))")} AS balanced_weight,
            {sql_six("CASE actual_default WHEN 1 THEN (SELECT COUNT(*) FROM train WHERE actual_default = 0) / COUNT(*) ELSE 1 END")} AS positive_weight

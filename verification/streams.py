@@ -29,7 +29,7 @@ def _landed(spark, d, bent=False):
     records = W.raw_accounts(spark, d).drop(TARGET)
     if bent:
         records = records.withColumn("SEX", F.when(F.col(ID) % 7 == 0, 3).otherwise(F.col("SEX")))
-    records.repartition(4, ID).write.json(folder)
+    records.write.json(folder)
     return folder
 
 

@@ -47,7 +47,7 @@ def io3_cleaned(spark, d):
 
 
 def io4_featured(spark, d):
-    return six(W.customers(spark, d).select(ID, "UTIL_AVG", "PAYCOV_TREND", "BILL_VOLATILITY", TARGET))
+    return six(W.customers(spark, d).select(*RAW_COLUMNS, *ALL_FEATURES))
 
 
 def io5_scored(spark, d):
@@ -86,9 +86,11 @@ RAW_SELECT = ", ".join(RAW_COLUMNS)
 register("panel_accounts", lambda s, d: account_panel(s, d), _with(PANEL, f"SELECT {RAW_SELECT} FROM panel"))
 register("io1_read_csv", io1_csv, _with(PANEL, f"SELECT {RAW_SELECT} FROM panel"))
 register("io3_write_cleaned", io3_cleaned, _with(CLEAN, f"SELECT {RAW_SELECT} FROM clean"))
-register("io4_featured_table", io4_featured, _with(FEATURES, f"""
-    SELECT ID, {sql_six("UTIL_AVG")} AS UTIL_AVG, {sql_six("PAYCOV_TREND")} AS PAYCOV_TREND,
-           {sql_six("BILL_VOLATILITY")} AS BILL_VOLATILITY, default_next_month FROM feat"""))
+_INTEGER_FEATURES = set(DELINQUENCY_FEATURES + ["UTILIZATION_STRESS_FLAG"]) - {"AVG_DELINQUENCY_SEVERITY"}
+_MONEY = ["LIMIT_BAL"] + [f"{kind}{i}" for kind in ("BILL_AMT", "PAY_AMT") for i in range(1, 7)]
+_ALL_COLUMNS = ", ".join(
+    f"{sql_six(c)} AS {c}" if c in _MONEY or c in set(ALL_FEATURES) - _INTEGER_FEATURES else c for c in RAW_COLUMNS + ALL_FEATURES)
+register("io4_featured_table", io4_featured, _with(FEATURES, f"SELECT {_ALL_COLUMNS} FROM feat"))
 register("io5_scored_table", io5_scored,
          _with(SCORED, "SELECT ID, actual_default, predicted_pd, risk_band FROM scored"))
 register("io6_sql_tables", io6_tables, _with(SCORED, """
@@ -136,8 +138,8 @@ register("a3_duplicate_order_lines", lambda s, d: audit.audit_duplicates(
     WITH t AS (SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders)
     SELECT 'duplicate_rows' AS metric, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM t)) AS value FROM t
     UNION ALL SELECT 'duplicate_ids', COUNT(*) - COUNT(DISTINCT o_custkey) FROM t""")
-_MISSING_COLUMNS = [ID, "UTIL_AVG"] + COVERAGE_FEATURES
-register("a4_missing", lambda s, d: audit.audit_missing(W.customers(s, d).select(*_MISSING_COLUMNS)),
+_MISSING_COLUMNS = RAW_COLUMNS + ALL_FEATURES
+register("a4_missing", lambda s, d: audit.audit_missing(W.customers(s, d)),
          _with(FEATURES, " UNION ALL ".join(
              f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
              f"round_even(COUNT(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / COUNT(*), 4) AS missing_pct FROM feat"
@@ -274,9 +276,6 @@ register("f2_class_at_half", lambda s, d: W.scored_customers(s, d).select(
 
 # ---- features ----
 
-_INTEGER_FEATURES = set(DELINQUENCY_FEATURES + ["UTILIZATION_STRESS_FLAG"]) - {"AVG_DELINQUENCY_SEVERITY"}
-
-
 def _family(names):
     def query(spark, d):
         return six(W.featured(spark, d).select(ID, *names))
