@@ -24,6 +24,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +146,12 @@ class Tokens:
             yield self.flat[np.repeat(self.begins[rows] - (ends - sizes), sizes) + np.arange(total)]
 
 
+@lru_cache(1)
+def _tokens(path: str) -> Tokens:
+    """The tokens of a vocabulary file, kept by a Python worker from task to task."""
+    return Tokens(path)
+
+
 class Packer:
     """The level array and the open windows of one partition; pieces are (doc, start, tokens, doc_tokens)."""
 
@@ -254,7 +261,7 @@ def pack(df: DataFrame, id_col: str, text_col: str, path: str, length: int = LEN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, packer = Tokens(path), Packer(length)
+        tokens, packer = _tokens(path), Packer(length)
         sequence = TaskContext.get().partitionId() << 40
         rows = []
 
