@@ -224,7 +224,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if model is None:
             return ToxicityModel(np.zeros(CLASSES**3, np.float32), 0.0, 0.0, float("-inf"))
         scored = append_columns(sample, "text", lambda: _margins(model), "margin double", ["y"])
-        seen = np.array(scored.orderBy("margin", "y").collect(), dtype=float)
+        seen = np.array(scored.collect(), dtype=float)  # the sample's rows
+        seen = seen[np.lexsort((seen[:, 0], seen[:, 1]))]
     finally:
         for table in held:
             table.unpersist()
