@@ -33,9 +33,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate component; rows with a null or repeated id count as they are."""
-    classes = simhash.classes(docs, "doc_id", "text")
-    heads = classes.select("component_id").distinct()
-    return docs.join(heads, docs["doc_id"].eqNullSafe(heads["component_id"]), "left_semi").dropDuplicates(["doc_id"]).select(*_columns(docs))
+    return simhash.one_of_each(docs.select(*_columns(docs)), "doc_id", "text")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

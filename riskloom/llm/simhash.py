@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import golay
-from riskloom.llm.batches import append_columns, bounded_batches, quoted
+from riskloom.llm.batches import append_columns, bounded_batches, fresh_name, quoted
 from riskloom.llm.components import components
 from riskloom.session import cut_lineage
 
@@ -150,6 +150,12 @@ def links(distinct: DataFrame, crowd: int = 4096) -> DataFrame:
     return near.unionByName(far)
 
 
+def roots_of(distinct: DataFrame, crowd: int = 4096) -> DataFrame:
+    """Each fingerprint and its component's root, the least fingerprint that links reach."""
+    linked = components(links(distinct, crowd)).select(F.col("node").alias("fp"), "root")
+    return distinct.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(df: DataFrame, id_col: str, text_col: str, width: int = 3, crowd: int = 4096) -> DataFrame:
     """Each row's id, `fp` and `component_id`, the smallest id among the rows that links reach."""
     printed = cut_lineage(fingerprints(df, text_col, [id_col], width))
@@ -161,3 +167,19 @@ def classes(df: DataFrame, id_col: str, text_col: str, width: int = 3, crowd: in
     named = nodes.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
     of_print = least.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return printed.join(of_print, "fp").select(quoted(id_col), "fp", "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str, text_col: str, width: int = 3, crowd: int = 4096) -> DataFrame:
+    """One row of df per component: the smallest id (null ids last), then the smallest hash of the text and of the row.
+
+    Rows are told apart by id, text and all columns, never by id alone.
+    """
+    at, row, fp = (fresh_name([*df.columns, "root"], x) for x in ("at", "row", "fp"))
+    columns = [F.col(quoted(c)) for c in df.columns]
+    marked = df.withColumns({at: F.xxhash64(quoted(text_col)), row: F.xxhash64(*columns, *[c.isNull() for c in columns])})
+    printed = cut_lineage(fingerprints(marked, text_col, [id_col, at, row], width, fp).select(F.col(quoted(id_col)).alias("id"), F.col(at).alias("at"), F.col(row).alias("row"), F.col(fp).alias("fp")))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at", "row"))
+    of_print = printed.groupBy("fp").agg(first.alias("first"))
+    of_root = of_print.join(roots_of(of_print.select("fp"), crowd), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.at", "first.row")
+    same = marked[at].eqNullSafe(of_root["at"]) & marked[row].eqNullSafe(of_root["row"]) & marked[id_col].eqNullSafe(of_root["id"])
+    return marked.join(of_root, same, "left_semi").dropDuplicates([id_col, at, row]).drop(at, row)

@@ -41,3 +41,12 @@ def test_stages_take_odd_rows(spark, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             out.collect()
             assert name == "packing" or out.columns == corpus_pipeline.COLUMNS
+
+
+def test_copies_are_told_apart_by_row_not_by_id(spark):
+    text = lambda k: " ".join(f"w{k}x{i * k % 97}" for i in range(60))
+    rows = [(None, text(2)), (None, text(3)), (7, text(5)), (7, text(11)), (8, text(11)), (None, text(11)), (9, text(13)), (9, text(13)), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", None if n % 2 else "s", n) for n, (i, t) in enumerate(rows)], common.DDL)
+    left = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, FOLDER).select("doc_id", "text").collect()
+    assert sorted((tuple(r) for r in left if r.text), key=repr) == sorted([(None, text(2)), (None, text(3)), (7, text(5)), (7, text(11)), (9, text(13))], key=repr)
+    assert [r.text for r in left if not r.text] in ([None], [""])
