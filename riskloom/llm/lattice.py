@@ -13,9 +13,13 @@ A merge-ordered model has ranks, no probabilities; a piece's weight is
 their bytes. Encoding puts one blank before the text, as the model asks for, and decoding
 takes it away again, so decoding gives the text back exactly.
 
-Defined cases: null and empty texts have no pieces; words longer than `WORD` characters
-are cut (each part has its own lattice; the cut depends on the word alone); a null key
-counts as 0; equal keys and equal texts give equal pieces.
+A word of any length has one lattice. It is filtered with a band of as many nodes as the
+longest piece has characters, in windows of `WINDOW` characters, so time and memory grow
+with its length (its edges are kept until the samples are drawn).
+
+Defined cases: null and empty texts have no pieces; a U+2581 in the text itself is spelled
+in bytes, as the model writes blanks so; a null key counts as 0; equal keys and equal
+texts give equal pieces.
 """
 
 from __future__ import annotations
@@ -29,11 +33,14 @@ from pyspark.sql import DataFrame
 from riskloom.llm.batches import Memo, append_columns, quoted
 
 BLANK = "▁"
-WORD = 48
+#: Stands for a U+2581 of the text itself until it is spelled; no text or piece has a lone surrogate.
+LITERAL = "\udc00"
+#: Words to `SHORT` characters are filtered with those of the same length, longer ones with those up to an eighth longer.
+SHORT, WINDOW, EDGES = 48, 1 << 14, 1 << 24
 #: Words with the blanks before them; ASCII signs apart from other characters where no piece has both.
 _SIGN = r"\x00-/:-@\[-`{-\x7f"
-_WORDS = re.compile(f"{BLANK}{{0,16}}[^{BLANK}]{{1,{WORD}}}|{BLANK}{{1,{WORD}}}")
-_PARTS = re.compile(f"{BLANK}{{0,16}}(?:[^{_SIGN}{BLANK}]{{1,{WORD}}}|[{_SIGN}]{{1,{WORD}}})|{BLANK}{{1,{WORD}}}")
+_WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+_PARTS = re.compile(f"{BLANK}*(?:[^{_SIGN}{BLANK}]+|[{_SIGN}]+)|{BLANK}+")
 _MIXED = re.compile(f"[^{_SIGN}{BLANK}][{_SIGN}]|[{_SIGN}][^{_SIGN}{BLANK}]")
 
 
@@ -99,47 +106,74 @@ class Lattices:
         self.nodes = self.edges = 0
 
     def add(self, words: list[str]) -> list[int]:
-        """Filter words forward, those of one length together; the number of each word's last node."""
+        """Filter words forward, those of like length together; the number of each word's last node."""
         lengths = np.array([len(w) for w in words])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         begins = np.cumsum(lengths) - lengths
         lasts = np.zeros(len(words), np.int64)
-        for length in np.unique(lengths):
-            of_length = np.flatnonzero(lengths == length)
-            for start in range(0, len(of_length), step := max(64, (1 << 19) // length**2)):
-                rows = of_length[start : start + step]
-                lasts[rows] = self._filter(points[begins[rows][:, None] + np.arange(length)])
+        grade = 1 + np.floor(np.log(np.maximum(lengths, SHORT) / SHORT) / np.log(1.125)).astype(np.int64)
+        group = np.where(lengths <= SHORT, lengths, SHORT + grade)
+        for g in np.unique(group):
+            of_group = np.flatnonzero(group == g)
+            width = int(lengths[of_group].max())
+            band = min(width, self.longest)
+            for start in range(0, len(of_group), step := max(1, (1 << 19) // (min(width, WINDOW) * band))):
+                rows = of_group[start : start + step]
+                inside = np.arange(width) < lengths[rows][:, None]
+                at = np.where(inside, begins[rows][:, None] + np.arange(width), 0)
+                lasts[rows] = self._filter(np.where(inside, points[at], np.uint64(0)), lengths[rows])
         return lasts.tolist()
 
-    def _filter(self, codes: np.ndarray) -> np.ndarray:
-        n, length = codes.shape
-        share, piece = np.zeros((n, length, length)), np.zeros((n, length, length), np.int32)
-        for begin in range(length):
-            h = np.zeros(n, np.uint64)
-            for end in range(begin, min(length, begin + self.longest)):
-                h = rolled(h, codes[:, end])
-                row = self._rows(h)
-                share[:, end, begin], piece[:, end, begin] = self.weights[row], self.ids[row]
-            lone = piece[:, begin, begin] == 0
-            share[lone, begin, begin] = self.rare
-            piece[lone, begin, begin] = -1 - codes[lone, begin].astype(np.int32)
-        forward = np.ones((n, length + 1))
-        for end in range(length):
-            share[:, end, : end + 1] = np.cumsum(share[:, end, : end + 1] * forward[:, : end + 1], axis=1)
-            total = share[:, end, end].copy()
-            share[:, end, : end + 1] /= total[:, None]
-            forward[:, : end + 1] /= total[:, None]  # only ratios matter; this one becomes 1
-        word, end, begin = np.nonzero(piece)
-        counts = np.bincount(word * length + end, minlength=n * length)
+    def _filter(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Filter words given as rows of characters, filled up behind their ends; a word's node is its row's and its last character's."""
+        n, width = codes.shape
+        band = min(width, self.longest)
+        forward = np.zeros((n, band))  # of the places from which a piece can reach the present end
+        forward[:, -1] = 1
+        found = []
+        for first in range(0, width, WINDOW):
+            last = min(first + WINDOW, width)
+            share, piece = self._window(codes, first, last, band)
+            piece[np.arange(first, last) >= lengths[:, None]] = 0
+            for end in range(last - first):
+                share[:, end] = np.cumsum(share[:, end] * forward, axis=1)
+                total = share[:, end, -1:].copy()
+                share[:, end] /= total
+                forward[:, :-1] = forward[:, 1:] / total  # only ratios matter; this one becomes 1
+                forward[:, -1] = 1
+            word, end, slot = np.nonzero(piece)
+            found.append((word, end + first, end + first + slot + 1 - band, share[word, end, slot], piece[word, end, slot]))
+        word, end, begin, bounds, drawn = map(np.concatenate, zip(*found))
+        if len(found) > 1:
+            order = np.lexsort((begin, end, word))
+            word, end, begin, bounds, drawn = (x[order] for x in (word, end, begin, bounds, drawn))
+        counts = np.bincount(word * width + end, minlength=n * width)
         starts = np.cumsum(counts) - counts
-        bounds = share[word, end, begin]
-        bounds[starts + counts - 1] = 2.0
-        back = np.where(begin == 0, -1, self.nodes + word * length + begin - 1)
-        self.parts.append((starts + self.edges, bounds, piece[word, end, begin], back))
-        last = self.nodes + np.arange(n) * length + length - 1
-        self.nodes += n * length
+        bounds[(starts + counts - 1)[counts > 0]] = 2.0
+        back = np.where(begin == 0, -1, self.nodes + word * width + begin - 1)
+        self.parts.append((starts + self.edges, bounds, drawn, back))
+        lasts = self.nodes + np.arange(n) * width + lengths - 1
+        self.nodes += n * width
         self.edges += len(bounds)
-        return last
+        return lasts
+
+    def _window(self, codes: np.ndarray, first: int, last: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and pieces by (word, end from first to last, begin among the `band` places before the end)."""
+        n = len(codes)
+        share, piece = np.zeros((n, last - first, band)), np.zeros((n, last - first, band), np.int32)
+        low = max(0, first + 1 - band)
+        h = np.zeros((n, last - low), np.uint64)
+        for size in range(1, min(band, last - low) + 1):
+            h = rolled(h[:, : last - low - size + 1], codes[:, low + size - 1 : last])
+            skip = max(0, first - (low + size - 1))
+            own = h[:, skip:]
+            row = self._rows(own.ravel()).reshape(own.shape)
+            to = slice(low + size - 1 + skip - first, None)
+            share[:, to, band - size], piece[:, to, band - size] = self.weights[row], self.ids[row]
+        lone = piece[:, :, -1] == 0
+        share[:, :, -1][lone] = self.rare
+        piece[:, :, -1][lone] = -1 - codes[:, first:last][lone].astype(np.int32)
+        return share, piece
 
     def sample(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Backward samples: (which of the nodes, step from the end, piece) of every piece drawn."""
@@ -193,8 +227,10 @@ class Encoder:
 
     def __call__(self, keys: list, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All rows' piece ids, one after the other, and where each row begins (one more at the end)."""
-        words = [self.lattices.words.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        words = [self.lattices.words.findall(BLANK + t.replace(BLANK, LITERAL).replace(" ", BLANK)) if t else [] for t in texts]
         counts = np.array([len(w) for w in words], np.int64)
+        if self.lattices.edges > EDGES:  # long words: the table would not be full for long
+            self.memo.table = {}
         table = self.memo.of(set().union(*words))
         nodes = np.fromiter((table[w] for own in words for w in own), np.int64, counts.sum())
         row = np.repeat(np.arange(len(texts)), counts)
@@ -209,7 +245,7 @@ class Encoder:
         widths = np.ones(len(ids), np.int64)
         odd = np.flatnonzero(ids < 0)
         if len(odd):  # a character without a piece: its bytes
-            parts = [[self.lattices.byte_ids[b] for b in chr(-1 - ids[i]).encode("utf-8", "surrogatepass")] for i in odd]
+            parts = [[self.lattices.byte_ids[b] for b in chr(-1 - ids[i]).replace(LITERAL, BLANK).encode("utf-8", "surrogatepass")] for i in odd]
             widths[odd] = [len(p) for p in parts]
             wide = np.repeat(ids, widths)
             begins = np.cumsum(widths) - widths

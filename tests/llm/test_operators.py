@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -172,6 +173,44 @@ def test_samples_follow_the_lattice_distribution():
         assert abs(seen[way] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+def test_long_runs_have_one_lattice():
+    encoder = lattice.Encoder(PIECES, 1.0, 0)
+    weight = {int(encoder.lattices.ids[i]): w for i, w in enumerate(encoder.lattices.weights) if i}
+    model, text, n = lattice.load(PIECES), "▁" + "theretransfer" * 39, 3000
+    edge = {(a, b): weight[i] * 10.0 ** (b - a) for a in range(len(text)) for b in range(a + 1, min(a + 16, len(text)) + 1) if (i := model.piece_to_id(text[a:b])) in weight}
+    before, after = [1.0] + [0.0] * len(text), [0.0] * len(text) + [1.0]
+    for b in range(1, len(text) + 1):
+        before[b] = sum(before[a] * edge.get((a, b), 0) for a in range(max(0, b - 16), b))
+    for a in range(len(text) - 1, -1, -1):
+        after[a] = sum(edge.get((a, b), 0) * after[b] for b in range(a + 1, min(a + 16, len(text)) + 1))
+    exact = [math.exp(math.log(x) + math.log(y) - math.log(before[-1])) if x and y else 0.0 for x, y in zip(before, after)]
+    ids, offsets = encoder(list(range(n)), [text[1:]] * n)
+    seen = defaultdict(int)
+    for a, b in zip(offsets, offsets[1:]):
+        at = 0
+        for i in ids[a:b]:
+            at += len(model.id_to_piece(int(i)))
+            seen[at] += 1
+        assert at == len(text)
+    for k in range(1, len(text)):
+        assert abs(seen[k] / n - exact[k]) < 6 * math.sqrt(max(exact[k] * (1 - exact[k]), 0) / n) + 2e-3
+
+
+def test_windows_and_filling_change_no_sample(monkeypatch):
+    texts = ["x".join(f"there{i * k}" for i in range(k)) for k in (9, 10, 11, 12, 13, 60)]
+    whole = lattice.Encoder(PIECES, 1.0, 0)([1] * len(texts), texts)
+    alone = [lattice.Encoder(PIECES, 1.0, 0)([1], [t])[0].tolist() for t in texts]
+    assert [whole[0][a:b].tolist() for a, b in zip(whole[1], whole[1][1:])] == alone
+    monkeypatch.setattr(lattice, "WINDOW", 7)
+    assert lattice.Encoder(PIECES, 1.0, 0)([1] * len(texts), texts)[0].tolist() == whole[0].tolist()
+
+
+def test_literal_blank_signs_and_long_words_are_lossless():
+    texts = ["a ▁b▁▁ c", "▁", "  ▁ ", "日本語▁" * 300, " " * 70 + "end", "▁ " * 40]
+    ids, offsets = lattice.Encoder(PIECES, 1.0, 0)(list(range(len(texts))), texts)
+    assert lattice.Spelling(PIECES)(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))).to_pylist() == texts
+
+
 # 5 secrets
 
 
