@@ -3,7 +3,8 @@
 Two first-order character models, of random strings and of ordinary identifiers, are
 counted from labelled samples; a token whose mean log-likelihood ratio per character
 pair exceeds `threshold` is a secret. Tokens are runs of the characters that keys are
-written in; only tokens of `shortest` characters or more are judged.
+written in; only tokens of `shortest` characters or more are judged, whatever characters
+they have. Two signs in a row that neither sample has say nothing (their ratio is 0).
 
 DataFrame functions only. The model is one array of ALPHABET x ALPHABET numbers, of fixed
 size, and enters the query as a constant.
@@ -94,7 +95,9 @@ def train(samples: DataFrame, token: str = "token", random: str = "random", thre
         rows = [sum(seen.get(a * ALPHABET + b, 0) for b in range(ALPHABET)) for a in range(ALPHABET)]
         return [math.log((seen.get(a * ALPHABET + b, 0) + 1) / (rows[a] + 64)) for a in range(ALPHABET) for b in range(ALPHABET)]
 
-    ratios = [round(x - y, 4) for x, y in zip(logs(table[True]), logs(table[False]))]
+    signs = [i for i in range(ALPHABET) if not chr(i).isalnum()]
+    silent = {a * ALPHABET + b for a in signs for b in signs} - {*table[True], *table[False]}  # rules of hyphens and the like
+    ratios = [0.0 if i in silent else round(x - y, 4) for i, (x, y) in enumerate(zip(logs(table[True]), logs(table[False])))]
     return MarkovModel(ratios, threshold, shortest)
 
 
@@ -121,7 +124,7 @@ def markov_spans(text: Column, base: Column, model: MarkovModel) -> Column:
 
     def odd(token: Column) -> Column:
         sums = F.aggregate(_pairs(token), F.lit(0.0), lambda s, at: s + F.get(table, at))
-        return token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (sums > model.threshold * (F.length(token) - 1))
+        return sums > model.threshold * (F.length(token) - 1)
 
     spans = _found(text, long, 3, odd)
     apart = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))

@@ -246,6 +246,20 @@ def test_markov_model_tells_keys_from_words(spark):
     assert sum(r.n == r.y for r in out) >= 360
 
 
+def test_keys_of_letters_or_digits_only_are_judged(spark):
+    import random
+
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    model = secret_scan.train(secret_scan.labelled_tokens(docs))
+    letters, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789"
+    texts = [("see " + "".join(rng.choice(a) for _ in range(n)) + " now", 1) for a in (letters, digits, letters + digits) for n in (16, 20) for _ in range(50)]
+    texts += [(f"see {sign * 40} now", 0) for sign in "-_=+/"] + [("see ungheiterieenach now", 0), ("see thretithestioner now", 0)]
+    out = secret_scan.find_spans(spark.createDataFrame(texts, "text string, y int"), model).select("text", "y", F.size("found").alias("n")).collect()
+    assert [r.text for r in out if r.y == 0 and r.n] == []
+    assert sum(r.n for r in out if r.y == 1) >= 297
+
+
 # 6 quality
 
 
