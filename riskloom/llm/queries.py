@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bytegru, chat, crosspolytope, lattice, packing, quality, secret_scan, simhash, tokencount, toxicity
+from riskloom.llm import annuli, bytegru, chat, crosspolytope, importance, k2treap, lattice, packing, quality, secret_scan, simhash, tokencount, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -86,6 +86,19 @@ def counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_texts(docs, "text", public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
 
 
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return k2treap.search(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def resampled(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"), "doc_id", "text", "text")
+
+
+def top_products(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _read(spark, folder, "embeddings")
+    return annuli.top_products(vectors, vectors.where(F.col("vec_id") % 100 == 0), "vec_id", "embedding")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_copies": near_copies,
     "op9_packing": sequences,
     "op10_token_counts": counts,
+    "op11_ranked_search": ranked_search,
+    "op12_importance": resampled,
+    "op13_top_products": top_products,
     "pipeline": pipeline,
 }
 
@@ -121,4 +137,70 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(length(body) + length(head) + 11)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op11_ranked_search": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        sizes AS (SELECT doc, doc_id, len(w) AS n, w FROM words WHERE len(w) > 0),
+        total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL),
+        postings AS (
+            SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(w) AS term FROM sizes)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+            FROM postings, total GROUP BY term),
+        scores AS (
+            SELECT item_id, doc, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+            FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (doc), total GROUP BY ALL),
+        placed AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+            FROM scores JOIN sizes USING (doc) WHERE score > 0)
+        SELECT * FROM placed WHERE rank <= 50""",
+    # The checksum is built from its polynomial: a table of 256 entries, eight steps each, then one step a byte.
+    "op12_importance": r"""
+        WITH steps AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+        source AS (
+            SELECT row_number() OVER () AS doc, doc_id, text, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        target AS (
+            SELECT unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+        uses AS (SELECT doc, unnest(w) AS word FROM source),
+        words AS (SELECT DISTINCT word, hex(encode(word)) AS code FROM (SELECT word FROM uses UNION ALL SELECT word FROM target)),
+        hashed AS (
+            SELECT word, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+                list_transform(range(length(code) // 2), lambda i: (16 * (strpos('0123456789ABCDEF', substr(code, 2 * i + 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(code, 2 * i + 2, 1)) - 1)::BIGINT)),
+                lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+            FROM words, steps),
+        s AS (SELECT bucket, count(*)::BIGINT AS s FROM uses JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*)::BIGINT AS t FROM target JOIN hashed USING (word) GROUP BY bucket),
+        totals AS (SELECT (SELECT count(*) FROM uses)::DOUBLE AS all_s, (SELECT count(*) FROM target)::DOUBLE AS all_t),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket), totals),
+        summed AS (SELECT doc, sum(gain)::BIGINT AS gain FROM uses JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc),
+        weighed AS (
+            SELECT doc, doc_id, len(w)::BIGINT AS n_features,
+                   CASE WHEN len(w) = 0 THEN 0 ELSE (gain - ((gain % len(w)) + len(w)) % len(w)) // len(w) END::BIGINT AS weight,
+                   ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE AS h
+            FROM source LEFT JOIN summed USING (doc)),
+        scored AS (SELECT doc, doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM weighed),
+        placed AS (
+            SELECT doc, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST)::BIGINT AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN placed USING (doc)""",
+    "op13_top_products": """
+        WITH rows AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT q.vec_id AS query_id, p.vec_id, max(list_dot_product(q.v, p.v))::BIGINT AS score
+            FROM rows q JOIN rows p ON q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id AND len(p.v) = len(q.v) GROUP BY ALL),
+        placed AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM pairs)
+        SELECT * FROM placed WHERE rank <= 10""",
 }
