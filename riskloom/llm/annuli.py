@@ -43,6 +43,8 @@ from riskloom.session import cut_lineage
 RING = ["dim", "pivot", "ring"]
 #: Rings a query has visited after each step but the last.
 STEPS = (4, 48)
+#: Keys over which the rows of one ring are spread before they are dealt.
+SALTS = 32
 #: Share of M that rounding may shift a distance by, far above what it does.
 SLACK = 1e-5
 _PLACED = "id long, dim int, pivot int, ring long, vec binary"
@@ -267,11 +269,15 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def _visit(placed: DataFrame, asked: DataFrame, k: int, block: int, together: int) -> DataFrame:
     """Compare the asked queries with the rings' rows; both sides of a crowded ring are dealt over several tasks."""
     parts = lambda df, name, size: df.groupBy(*RING).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-    dealt = parts(placed, "blocks", block).join(parts(asked, "groups", together), RING)
-    part = lambda of: F.pmod(F.xxhash64("id", "vec"), of).cast("int")
+    # Rows meet their ring's numbers under one of SALTS keys, so that a crowded ring isn't one task here either.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    dealt = parts(placed, "blocks", block).join(parts(asked, "groups", together), RING).select("*", salts)
+    code = F.xxhash64("id", "vec")
+    numbered = lambda df: df.withColumn("salt", F.pmod(F.shiftright(code, 32), SALTS).cast("int")).join(dealt, [*RING, "salt"])
+    part = lambda of: F.pmod(code, of).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = placed.join(dealt, RING).select(*RING, part("blocks").alias("block"), every("groups").alias("group"), "id", "vec")
-    right = asked.join(dealt, RING).select(*RING, every("blocks").alias("block"), part("groups").alias("group"), "id", "vec", "floor")
+    left = numbered(placed).select(*RING, part("blocks").alias("block"), every("groups").alias("group"), "id", "vec")
+    right = numbered(asked).select(*RING, every("blocks").alias("block"), part("groups").alias("group"), "id", "vec", "floor")
     keys = [*RING, "block", "group"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(k), _FOUND)
 
