@@ -1,126 +1,287 @@
 """Exact nearest neighbours of dense vectors, block by block.
 
-Rows are laid out in blocks of similar first principal component. A block first
-searches itself, which bounds each row's search radius; a row then visits only
-the blocks whose stretch of the component lies within that radius, since two
-rows can never be closer than their components are. Each visit returns at most k
-rows, both sides of a visit are whole blocks of bounded size, and nothing is
-left out: every skipped block is proven to hold no nearer row.
+Rows belong to the ball of their nearest pivot and, inside it, to a ring of their distance
+to that pivot; a ring with more rows than a block is dealt by a hash. A block first searches
+itself, which bounds each row's search radius. A row then has to look into another ring only
+if the triangle inequality leaves room for a nearer row:
+
+* the ring's distances to its pivot come within the radius of the row's own distance;
+* the row is not farther from the other pivot than from its own by more than two radii
+  (every row of a ball is nearest to its pivot);
+* for none of several reference pivots the block's span of distances is farther from the
+  row's distance than the radius.
+
+Blocks meet as whole packed rows, so a pair of blocks is one matrix product; a product only
+selects, distances come from differences. A visit returns at most k rows for a row, and no row
+is left out: every skipped block is proven to hold no nearer one. Rows that lie evenly in many
+dimensions leave little to skip; the work is then that of all pairs of blocks.
+
+Rows with a null ID or vector take no part. Ties go to the smaller ID.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.directions import along, main_directions
 from riskloom.session import cut_lineage
 
 # tasks get these functions by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 2048
-_CHUNK = 128
+BLOCK_ROWS = 4096
+#: pivots at most, rows they are chosen from, and how many of them bound a block from all sides
+PIVOTS, SAMPLE_ROWS, REFERENCES = 256, 8192, 16
+#: products of two blocks are formed for this many rows at once
+_CHUNK = 512
+#: rounding may move a computed distance by this share of the largest vector's length
+_ROUNDING = 1e-7
+_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20)}
+_FOUND = "ID long, neighbour long, distance double"
+
+
+@dataclass(frozen=True)
+class Pivots:
+    """Centres (one a row), ring width per centre, and the length of the longest vector."""
+
+    centres: np.ndarray
+    widths: np.ndarray
+    longest: float
+
+    @property
+    def slack(self) -> float:
+        return _ROUNDING * self.longest + 1e-12
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All distances by one product; good to about 1e-8 of the vectors' length."""
+    square = (x ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :] - 2 * x @ y.T
+    return np.sqrt(np.maximum(square, 0))
+
+
+def choose_pivots(x: np.ndarray, count: int, rounds: int = 5) -> np.ndarray:
+    """Centres of a few rounds of k-means, the first starts spread over the sample."""
+    centres = x[np.linspace(0, len(x) - 1, count).astype(int)].copy()
+    for _ in range(rounds):
+        nearest = distances(x, centres).argmin(axis=1)
+        for p in np.unique(nearest):
+            centres[p] = x[nearest == p].mean(axis=0)
+    return np.unique(centres, axis=0)
 
 
-def _closest(ids, x, other_ids, y, k: int, same: bool) -> pd.DataFrame:
-    """k nearest rows of `y` for every row of `x`, ties by ID."""
+def fit_pivots(vectors: DataFrame, rows_per_block: int, sample_rows: int = SAMPLE_ROWS) -> Pivots:
+    """Pivots from a hash sample of bounded size; as many as there are blocks, at most PIVOTS."""
+    length = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    rows, longest = vectors.agg(F.count(F.lit(1)), F.max(length)).first()
+    if not rows:
+        return Pivots(np.zeros((1, 1)), np.ones(1), 0.0)
+    share = min(1.0, sample_rows / rows)
+    code = F.pmod(F.xxhash64("ID"), F.lit(1 << 32))
+    sample = np.array([r["x"] for r in vectors.filter(code < int(share * (1 << 32))).select("x").collect()] or
+                      [r["x"] for r in vectors.select("x").limit(1).collect()], dtype=float)
+    sample = sample[np.lexsort(sample.T[::-1])]
+    longest = math.sqrt(longest)
+    centres = choose_pivots(sample, min(PIVOTS, len(sample), max(1, math.ceil(rows / rows_per_block))))
+    away = distances(sample, centres)
+    nearest, own = away.argmin(axis=1), away.min(axis=1)
+    widths = []
+    for p in range(len(centres)):
+        inside = own[nearest == p]
+        rings = max(1.0, len(inside) * rows / len(sample) / rows_per_block)
+        widths.append(max((inside.max() if len(inside) else 0.0) / rings, longest * 1e-6, 1e-9))
+    return Pivots(centres, np.array(widths), longest)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A column of arrays of one length as a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _place(vectors: DataFrame, pivots: Pivots) -> DataFrame:
+    schema = pa.schema([("ID", pa.int64()), ("x", pa.list_(pa.float64())), ("ball", pa.int32()), ("ring", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                away = distances(_matrix(batch.column(1)), pivots.centres)
+                ball = away.argmin(axis=1)
+                ring = np.floor(away.min(axis=1) / pivots.widths[ball]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(ball.astype(np.int32)), pa.array(ring)], schema=schema)
+
+    return vectors.mapInArrow(run, "ID long, x array<double>, ball int, ring long")
+
+
+def closest(ids, x, other_ids, y, k: int, reach=None, same: bool = False):
+    """Rows of `y` among the k nearest of each row of `x`, within `reach`: (row of x, ID, distance), ties by ID.
+
+    Products pick the candidates, a little more than needed; their distances are then
+    computed from differences, so equal vectors get exactly equal distances.
+    """
     found = []
-    take = min(k, len(other_ids) - (1 if same else 0))
-    if take <= 0:
-        return pd.DataFrame({"ID": [], "neighbour": [], "distance": []}).astype(
-            {"ID": "int64", "neighbour": "int64", "distance": "float64"})
+    slack = 1e-7 * math.sqrt(max((x ** 2).sum(axis=1).max(initial=0), (y ** 2).sum(axis=1).max(initial=0))) + 1e-12
     for start in range(0, len(ids), _CHUNK):
         part = x[start:start + _CHUNK]
-        gap = np.sqrt(((part[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+        gap = distances(part, y)
         if same:
             gap[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
-        order = np.lexsort((np.broadcast_to(other_ids, gap.shape), gap), axis=1)[:, :take]
-        found.append(pd.DataFrame({
-            "ID": np.repeat(ids[start:start + _CHUNK], take),
-            "neighbour": other_ids[order].ravel(),
-            "distance": np.take_along_axis(gap, order, axis=1).ravel(),
-        }))
-    return pd.concat(found, ignore_index=True)
-
-
-def _matrix(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return frame["ID"].to_numpy("int64"), np.array(frame["x"].tolist(), dtype=float)
-
-
-def _blocks(vectors: DataFrame, rows_per_block: int) -> DataFrame:
-    """(ID, x, along, block): blocks follow the first principal component, ties by ID."""
-    direction = main_directions(vectors, "x", 1)[:, 0]
-    placed = vectors.selectExpr("ID", "x", f"{along('x', direction)} AS along")
-    blocks = max(1, math.ceil(vectors.count() / rows_per_block))
-    ranged = placed.repartitionByRange(blocks, "along", "ID")
-    return cut_lineage(ranged.withColumn("block", F.spark_partition_id()))
-
-
-def _block_ranges(blocks: DataFrame) -> tuple[DataFrame, float, int, int]:
-    """Cells of equal width along the component, each with the blocks that touch it."""
-    ends = blocks.groupBy("block").agg(F.min("along").alias("low"), F.max("along").alias("high"))
-    shape = ends.agg(F.min("low"), F.max("high"), F.count(F.lit(1))).first()
-    width = max((shape[1] - shape[0]) / max(shape[2], 1), 1e-12)
-    first, last = math.floor(shape[0] / width), math.floor(shape[1] / width)
-    cells = ends.select("block", F.explode(F.sequence(
-        F.floor(F.col("low") / width), F.floor(F.col("high") / width))).alias("cell"))
-    return cells, width, first, last
-
-
-def _visits(blocks: DataFrame, near: DataFrame, k: int) -> DataFrame:
-    """Rows with the other blocks they must look into: (ID, x, block, target)."""
-    radius = near.groupBy("ID").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("n"))
-    cells, width, first, last = _block_ranges(blocks)
-    reach = F.when(F.col("n") >= k, F.col("far")).otherwise(F.lit(float("inf")))
-    searching = blocks.join(radius, "ID", "left").select(
-        "ID", "x", "block", "along", F.coalesce(reach, F.lit(float("inf"))).alias("reach"))
-
-    def cell(value):
-        # one cell more on each side covers rounding at the boundaries
-        bounded = F.least(F.greatest(value, F.lit(float(first) * width)), F.lit(float(last + 1) * width))
-        return F.floor(bounded / width)
-
-    spans = searching.select(
-        "ID", "x", "block",
-        F.greatest(cell(F.col("along") - F.col("reach")) - 1, F.lit(first)).alias("from_cell"),
-        F.least(cell(F.col("along") + F.col("reach")) + 1, F.lit(last)).alias("to_cell"))
-    wanted = spans.select("ID", "block", F.explode(F.sequence("from_cell", "to_cell")).alias("cell"))
-    targets = wanted.join(cells.withColumnRenamed("block", "target"), "cell").filter(
-        F.col("target") != F.col("block")).select("ID", "target").distinct()
-    return targets.join(searching.select("ID", "x", "block"), "ID")
+        limit = np.full(len(part), np.inf) if reach is None else reach[start:start + _CHUNK].copy()
+        if gap.shape[1] > k:
+            limit = np.minimum(limit, np.partition(gap, k - 1, axis=1)[:, k - 1])
+        row, column = np.nonzero((gap <= (limit + slack)[:, None]) & np.isfinite(gap))
+        exact = np.empty(len(row))
+        for some in range(0, len(row), 1 << 16):
+            piece = slice(some, some + (1 << 16))
+            exact[piece] = np.sqrt(((part[row[piece]] - y[column[piece]]) ** 2).sum(axis=1))
+        order = np.lexsort((other_ids[column], exact, row))
+        row, column, exact = row[order], column[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < k
+        found.append((row[keep] + start, other_ids[column[keep]], exact[keep]))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, "int64"), np.zeros(0))
+
+
+_PACKED = "block long, ball int, ring long, n int, ids binary, x binary, reach binary, low array<double>, high array<double>, near array<struct<ID:long,neighbour:long,distance:double>>"
+
+
+def pack_blocks(vectors: DataFrame, k: int, rows_per_block: int, pivots: Pivots) -> DataFrame:
+    """One row per block: its rows packed, their neighbours inside it, and how far each still has to look."""
+    placed = cut_lineage(_place(vectors, pivots))
+    sizes = placed.groupBy("ball", "ring").agg(F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias("parts"))
+    # a crowded ring is spread over several keys before it meets its size
+    salt = F.pmod(F.xxhash64("ID", F.lit(1)), F.lit(32)).cast("int")
+    sizes = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
+    dealt = placed.withColumn("_salt", salt).join(sizes, ["ball", "ring", "_salt"]).select(
+        "ID", "x", "ball", "ring", F.pmod(F.xxhash64("ID"), "parts").cast("int").alias("part"))
+    references = pivots.centres[:REFERENCES]
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("ID")
+        ids, x = table["ID"].to_numpy(), _matrix(table["x"])
+        row, near, gap = closest(ids, x, ids, x, k, same=True)
+        full = np.bincount(row, minlength=len(ids)) >= k
+        reach = np.full(len(ids), np.inf)
+        last = np.searchsorted(row, np.arange(len(ids)), side="right") - 1
+        reach[full] = gap[last[full]]
+        away = distances(x, references)
+        ball, ring, part = (table[c][0].as_py() for c in ("ball", "ring", "part"))
+        return pa.Table.from_pylist([{
+            "block": int(ids[0]), "ball": ball, "ring": ring, "n": len(ids), "ids": ids.tobytes(), "x": x.tobytes(),
+            "reach": reach.tobytes(), "low": away.min(axis=0).tolist(), "high": away.max(axis=0).tolist(),
+            "near": [{"ID": a, "neighbour": b, "distance": c} for a, b, c in zip(ids[row].tolist(), near.tolist(), gap.tolist())],
+        }], schema=pa.schema([
+            ("block", pa.int64()), ("ball", pa.int32()), ("ring", pa.int64()), ("n", pa.int32()), ("ids", pa.binary()), ("x", pa.binary()),
+            ("reach", pa.binary()), ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64())),
+            ("near", pa.list_(pa.struct([("ID", pa.int64()), ("neighbour", pa.int64()), ("distance", pa.float64())])))]))
+
+    return cut_lineage(dealt.groupBy("ball", "ring", "part").applyInArrow(pack, _PACKED))
+
+
+def _unpack(ids: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.frombuffer(ids.as_buffer(), "int64")
+    return numbers, np.frombuffer(x.as_buffer(), "float64").reshape(len(numbers), -1)
+
+
+def ball_radii(blocks: DataFrame, pivots: Pivots, k: int) -> np.ndarray:
+    """Per pivot a distance within which its ball holds more than k rows; infinite where it holds fewer."""
+    order = Window.partitionBy("ball").orderBy("ring")
+    reached = blocks.groupBy("ball", "ring").agg(F.sum("n").alias("n")).withColumn("n", F.sum("n").over(order))
+    radii = np.full(len(pivots.centres), np.inf)
+    for r in reached.filter(F.col("n") > k).groupBy("ball").agg(F.min("ring").alias("ring")).collect():  # one row per pivot
+        radii[r["ball"]] = (r["ring"] + 1) * pivots.widths[r["ball"]]
+    return radii
+
+
+def _bounded(reach: np.ndarray, x: np.ndarray, pivots: Pivots, radii: np.ndarray) -> np.ndarray:
+    """A row that found too few rows in its block still has k within its way to a pivot and on to that ball's rows."""
+    reach = reach.copy()
+    short = np.isinf(reach)
+    if short.any():
+        reach[short] = (distances(x[short], pivots.centres) + radii).min(axis=1)
+    return reach + pivots.slack
+
+
+def block_pairs(blocks: DataFrame, pivots: Pivots, radii: np.ndarray) -> DataFrame:
+    """(caller, target) for every pair of blocks where some row of the caller may have a nearer row in the target."""
+    spans = {r["ball"]: (r["low"], r["high"]) for r in blocks.groupBy("ball").agg(
+        F.min("ring").alias("low"), F.max("ring").alias("high")).collect()}  # one row per pivot
+    schema = pa.schema([("caller", pa.int64()), ("ball", pa.int32()), ("ring", pa.int64())])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, home = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                _, x = _unpack(batch.column(2)[i], batch.column(3)[i])
+                reach = _bounded(np.frombuffer(batch.column(4)[i].as_buffer(), "float64"), x, pivots, radii)
+                away = distances(x, pivots.centres)
+                for ball, (low, high) in spans.items():
+                    near = (away[:, ball] - away[:, home]) / 2 <= reach
+                    first = np.floor(np.maximum(away[near, ball] - reach[near], 0) / pivots.widths[ball])
+                    last = np.floor((away[near, ball] + reach[near]) / pivots.widths[ball])
+                    first, last = np.clip(first, low, high + 1).astype(np.int64), np.clip(last, low - 1, high).astype(np.int64)
+                    # rings covered by any row's stretch
+                    step = np.zeros(high - low + 3, np.int64)
+                    np.add.at(step, first[first <= last] - low, 1)
+                    np.add.at(step, last[first <= last] - low + 1, -1)
+                    rings = np.flatnonzero(np.cumsum(step)[:high - low + 1] > 0) + low
+                    if len(rings):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(rings), block)), pa.array(np.full(len(rings), ball, np.int32)), pa.array(rings)], schema=schema)
+
+    called = blocks.select("block", "ball", "ids", "x", "reach").mapInArrow(call, "caller long, ball int, ring long")
+    return called.join(blocks.select("ball", "ring", F.col("block").alias("target")), ["ball", "ring"]).filter(
+        F.col("caller") != F.col("target")).select("caller", "target")
+
+
+def _across(pairs: DataFrame, blocks: DataFrame, pivots: Pivots, radii: np.ndarray, k: int) -> DataFrame:
+    schema = pa.schema([("ID", pa.int64()), ("neighbour", pa.int64()), ("distance", pa.float64())])
+    references = pivots.centres[:REFERENCES]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, x = _unpack(batch.column(0)[i], batch.column(1)[i])
+                reach = _bounded(np.frombuffer(batch.column(2)[i].as_buffer(), "float64"), x, pivots, radii)
+                low, high = (np.array(batch.column(c)[i].as_py()) for c in (5, 6))
+                away = distances(x, references)
+                apart = np.maximum(low - away, away - high).max(axis=1)
+                near = np.flatnonzero(apart <= reach)
+                if not len(near):
+                    continue
+                other, y = _unpack(batch.column(3)[i], batch.column(4)[i])
+                row, neighbour, gap = closest(ids[near], x[near], other, y, k, reach[near])
+                if len(row):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[near][row]), pa.array(neighbour), pa.array(gap)], schema=schema)
+
+    callers = blocks.select(F.col("block").alias("caller"), "ids", "x", "reach")
+    targets = blocks.select(F.col("block").alias("target"), F.col("ids").alias("t_ids"), F.col("x").alias("t_x"), "low", "high")
+    met = pairs.join(callers, "caller").join(targets, "target")
+    return met.select("ids", "x", "reach", "t_ids", "t_x", "low", "high").mapInArrow(meet, _FOUND)
 
 
 def nearest_neighbours(vectors: DataFrame, k: int = 5, rows_per_block: int = BLOCK_ROWS) -> DataFrame:
     """(ID, rank, neighbour, distance) for the k nearest other rows of each row.
 
-    `vectors` has a unique long `ID` and an array<double> `x`.
+    `vectors` has a unique long `ID` and an array<double> `x` of one length.
     """
-    blocks = _blocks(vectors, rows_per_block)
-    out = "ID long, neighbour long, distance double"
-
-    def inside(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, x = _matrix(frame)
-        return _closest(ids, x, ids, x, k, same=True)
-
-    def across(visitors: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        ids, x = _matrix(visitors)
-        other, y = _matrix(residents)
-        return _closest(ids, x, other, y, k, same=False)
-
-    near = cut_lineage(blocks.groupBy("block").applyInPandas(inside, out))
-    visits = _visits(blocks, near, k)
-    pairs = visits.select("target", "block").distinct()
-    residents = pairs.join(blocks.select("ID", "x", F.col("block").alias("target")), "target").select(
-        "ID", "x", F.col("target").alias("home"), F.col("block").alias("caller"))
-    far = visits.groupBy("target", "block").cogroup(
-        residents.groupBy("home", "caller")).applyInPandas(across, out)
+    for name, value in _BATCH.items():
+        vectors.sparkSession.conf.set(name, value)
+    vectors = vectors.select("ID", "x").filter(F.col("ID").isNotNull() & F.col("x").isNotNull())
+    pivots = fit_pivots(vectors, rows_per_block)
+    blocks = pack_blocks(vectors, k, rows_per_block, pivots)
+    inside = blocks.select(F.inline("near"))
+    radii = ball_radii(blocks, pivots, k)
+    far = _across(block_pairs(blocks, pivots, radii), blocks, pivots, radii, k)
     best = Window.partitionBy("ID").orderBy("distance", "neighbour")
-    return near.unionByName(far).withColumn("rank", F.row_number().over(best)).filter(
+    return inside.unionByName(far).withColumn("rank", F.row_number().over(best)).filter(
         F.col("rank") <= k).select("ID", "rank", "neighbour", "distance")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from riskloom.operators import resample
+from riskloom.operators import neighbours, resample
 from riskloom.operators.neighbours import nearest_neighbours
 
 
@@ -29,6 +29,38 @@ def test_neighbours_equal_brute_force(spark, rows_per_block):
     assert found == brute_force(x, 5)
 
 
+def grouped(spark, groups: int, each: int, width: int):
+    draw = np.random.default_rng(7)
+    x = np.repeat(draw.normal(size=(groups, width)) * 6, each, axis=0) + draw.normal(size=(groups * each, width)) * 0.3
+    return x, spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "ID long, x array<double>")
+
+
+def test_far_blocks_are_not_visited(spark):
+    x, rows = grouped(spark, 30, 60, 12)
+    found = {}
+    for r in neighbours.nearest_neighbours(rows, 5, 60).orderBy("ID", "rank").collect():
+        found.setdefault(r["ID"], []).append(r["neighbour"])
+    assert found == brute_force(x, 5)
+    pivots = neighbours.fit_pivots(rows, 60)
+    blocks = neighbours.pack_blocks(rows, 5, 60, pivots).cache()
+    n = blocks.count()
+    share = neighbours.block_pairs(blocks, pivots, neighbours.ball_radii(blocks, pivots, 5)).count() / (n * (n - 1))
+    assert n >= 25 and share < 0.2
+
+
+def test_copies_and_odd_rows(spark):
+    x = [[0.0, 1.0]] * 200 + [[5.0, 5.0]] * 3 + [[1e-9, 1.0]]
+    rows = [(i, v) for i, v in enumerate(x)] + [(None, [0.0, 1.0]), (999, None)]
+    df = spark.createDataFrame(rows, "ID long, x array<double>")
+    found = {}
+    for r in neighbours.nearest_neighbours(df, 3, 16).orderBy("ID", "rank").collect():
+        found.setdefault(r["ID"], []).append(r["neighbour"])
+    assert found == brute_force(np.array(x), 3)
+    assert neighbours.nearest_neighbours(df.limit(0), 3).count() == 0
+    two = neighbours.nearest_neighbours(df.filter("ID in (0, 200)"), 5).collect()
+    assert sorted((r["ID"], r["rank"], r["neighbour"]) for r in two) == [(0, 1, 200), (200, 1, 0)]
+
+
 def encoded(spark, majority: int, minority: int):
     draw = np.random.default_rng(2)
     rows = [(i, 0.0, list(draw.normal(size=4))) for i in range(majority)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import association, drift, explain, metrics, portfolio, resample, scoring
+from riskloom.operators.neighbours import nearest_neighbours
 from riskloom.operators.split import class_weights, split_summary, stratified_split
 from riskloom.operators.learning import fit_preprocessor, medians
 from riskloom.plans import training, warehouse as W
@@ -231,6 +232,22 @@ def l3_scaled(spark, d):
 _FILLED = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM train)) AS {c}" for c in NUMERIC)
 register("l3_standardized", l3_scaled, _with(SCORED + f", filled AS (SELECT ID, {_FILLED} FROM train)", "SELECT ID, " + ", ".join(
     f"{sql_six(f'({c} - AVG({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)')} AS {c}" for c in NUMERIC) + " FROM filled"))
+
+
+def l11_nearest(spark, d):
+    """The five nearest other defaulters of each defaulter of the training fold, over all scaled columns."""
+    train = W.train_fold(spark, d)
+    scaled = fit_preprocessor(train).stages[0].transform(train.filter(F.col(TARGET) == 1))
+    vectors = scaled.select(ID, F.array(*[f"z_{c}" for c in NUMERIC]).alias("x"))
+    return six(nearest_neighbours(vectors, 5))
+
+
+_VECTOR = ", ".join(f"({c} - AVG({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)" for c in NUMERIC)
+register("l11_neighbours", l11_nearest, _with(SCORED + f""", filled AS (SELECT ID, actual_default, {_FILLED} FROM train),
+    vectors AS (SELECT ID, actual_default, [{_VECTOR}] AS x FROM filled), bad AS (SELECT * FROM vectors WHERE actual_default = 1),
+    pairs AS (SELECT a.ID, b.ID AS neighbour, list_distance(a.x, b.x) AS distance FROM bad a JOIN bad b ON a.ID <> b.ID)""", f"""
+    SELECT ID, CAST(rank AS INTEGER) AS rank, neighbour, {sql_six("distance")} AS distance FROM (
+        SELECT *, row_number() OVER (PARTITION BY ID ORDER BY distance, neighbour) AS rank FROM pairs) WHERE rank <= 5"""))
 register("l9_class_weights", lambda s, d: six(class_weights(W.train_fold(s, d))), _with(SCORED, f"""
     SELECT actual_default AS class, COUNT(*) AS n, {sql_six("(SELECT COUNT(*) FROM train) / (2.0 * COUNT(*))")} AS balanced_weight,
            {sql_six("CASE actual_default WHEN 1 THEN (SELECT COUNT(*) FROM train WHERE actual_default = 0) / COUNT(*) ELSE 1 END")} AS positive_weight
