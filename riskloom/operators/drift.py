@@ -55,7 +55,15 @@ def stability_index(expected: DataFrame, actual: DataFrame, features: list[str],
 
 def index_against(edges: DataFrame, expected_counts: DataFrame, actual: DataFrame,
                   features: list[str], by: list[str]) -> DataFrame:
-    actual_counts = _binned(actual, features, edges, by)
+    return index_of_counts(edges, expected_counts, _binned(actual, features, edges, by), by)
+
+
+def reference_counts(reference: DataFrame, features: list[str], edges: DataFrame) -> DataFrame:
+    """(feature, bin, n) of the reference: all that later periods need of it."""
+    return _binned(reference, features, edges, [])
+
+
+def index_of_counts(edges: DataFrame, expected_counts: DataFrame, actual_counts: DataFrame, by: list[str]) -> DataFrame:
     grid = actual_counts.select(*by, "feature").distinct().join(_all_bins(edges), "feature")
     filled = grid.join(
         _shares(expected_counts, [], "expected"), ["feature", "bin"], "left"
@@ -117,27 +125,33 @@ def retraining_triggers(reference: DataFrame, current: DataFrame, validated: Dat
     `validated` is the metric row of the test fold, `periods` the metric rows per
     monitoring period. A policy change cannot be computed and is not listed.
     """
+    index = stability_index(reference, current, ["predicted_pd", *features], by=[period])
+    twice = band_divergence(current, period).groupBy(period).agg(F.max("twice").alias("twice"))
+    return trigger_rows(index, validated, periods, twice, period, brier_margin)
+
+
+def trigger_rows(index: DataFrame, validated: DataFrame, periods: DataFrame, twice: DataFrame, period: str,
+                 brier_margin: float = 0.01) -> DataFrame:
+    """The triggers from stability per (period, feature), metrics per period and bands off twice per period."""
     def rows(table: DataFrame, name: str, value: Column, limit: Column, fired: Column):
         return table.select(F.lit(name).alias("trigger"), F.col(period).alias("period"),
                             value.cast("double").alias("value"), limit.cast("double").alias("limit"),
                             F.coalesce(fired.cast("int"), F.lit(0)).alias("fired"))
 
-    drift = stability_index(reference, current, ["predicted_pd", *features], by=[period])
-    score_drift = drift.filter(F.col("feature") == "predicted_pd")
-    worst = drift.filter(F.col("feature") != "predicted_pd").groupBy(period).agg(
+    score_drift = index.filter(F.col("feature") == "predicted_pd")
+    worst = index.filter(F.col("feature") != "predicted_pd").groupBy(period).agg(
         F.max("psi").alias("psi"))
     base = validated.select(F.col("roc_auc").alias("base_auc"), F.col("brier_score").alias("base_brier"),
                             F.lit(1).alias("_one"))
     compared = periods.withColumn("_one", F.lit(1)).join(F.broadcast(base), "_one")  # one row
     fall = F.col("base_auc") - F.col("roc_auc")
     rise = F.col("brier_score") - F.col("base_brier")
-    bands = band_divergence(current, period).groupBy(period).agg(F.max("twice").alias("twice"))
     limit = F.lit(0.25)
     parts = [
         rows(score_drift, "predicted_pd_psi", F.col("psi"), limit, F.col("psi") > limit),
         rows(compared, "roc_auc_drop", fall, F.lit(0.03), fall > 0.03),
         rows(compared, "brier_increase", rise, F.lit(brier_margin), rise > brier_margin),
-        rows(bands, "band_divergence_two_periods", F.col("twice"), F.lit(0.30), F.col("twice") == 1),
+        rows(twice, "band_divergence_two_periods", F.col("twice"), F.lit(0.30), F.col("twice") == 1),
         rows(worst, "feature_psi", F.col("psi"), limit, F.col("psi") > limit),
     ]
     return reduce(DataFrame.unionByName, parts)

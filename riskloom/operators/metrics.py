@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.binning import CALIBRATION_EDGES, bin_label, bin_number
 from riskloom.operators.ranking import (
-    cuts_passed, edge_columns, exact_quantiles, ranked_scores, score_counts,
+    cuts_passed, edge_columns, exact_quantiles, ranked_scores, running_totals, score_counts,
 )
 
 MODEL = "model"
@@ -75,7 +75,12 @@ def class_metrics(df: DataFrame, score: str, outcome: str, keys: list[str],
 def full_metrics(df: DataFrame, score: str, outcome: str, keys: list[str],
                  threshold: float = 0.5, strict: bool = False) -> DataFrame:
     """One complete metric row per key."""
-    ranked = ranked_scores(df, keys, score, outcome)
+    return metrics_of_counts(score_counts(df, keys, score, outcome), keys, threshold, strict)
+
+
+def metrics_of_counts(counts: DataFrame, keys: list[str], threshold: float = 0.5, strict: bool = False) -> DataFrame:
+    """One complete metric row per key from (keys, score, pos, neg)."""
+    ranked = running_totals(counts, "score", ["pos", "neg"], keys, descending=True)
     aggregates = _rank_aggregates() | {"brier_score": _brier()} | _confusion(threshold, strict)
     rows = ranked.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
     return rows.select("*", *[c.alias(n) for n, c in _from_cells().items()],

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.drift import EDGES, FLOOR, drift_flag
-from riskloom.operators.metrics import full_metrics
 
 
 def event_stream(spark: SparkSession, path: str, like: DataFrame, time: str = "ts") -> DataFrame:
@@ -54,11 +51,25 @@ def window_counts(stream: DataFrame, time: str, value: str, edges: list[float],
     return stream.filter(F.col(value).isNotNull()).withWatermark(time, late).groupBy(
         F.window(time, length, slide).alias("w") if slide else F.window(time, length).alias("w")
     ).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"),
-          F.stddev_pop(value).alias("std"), *bins
-          ).select(F.col("w.start").alias("window_start"), "n", "mean", "std",
+          F.stddev_pop(value).alias("std"), F.max(time).alias("last"), *bins
+          ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean", "std", "last",
                    *[f"bin_{i}" for i in range(len(edges) + 1)])
 
 
+def newest_windows(written: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Windows of an upsert table as written last, the open ones with `open` = 1.
+
+    Counts only grow, so the row with the most records is the newest. A window is
+    closed when the watermark, the latest time seen less the delay, has passed its end.
+    """
+    rest = [c for c in written.columns if c not in ("window_start", "number")]
+    newest = written.groupBy("window_start").agg(F.max_by(F.struct(*rest), "n").alias("_last")).select(
+        "window_start", *[F.col(f"_last.{c}").alias(c) for c in rest])
+    seen = written.agg(F.max("last").alias("_seen"))  # one row
+    passed = F.col("window_end") <= F.col("_seen") - F.expr(f"INTERVAL {late}")
+    return newest.join(F.broadcast(seen)).withColumn("open", (~passed).cast("int")).drop("_seen", "last", "window_end")
+
+
 def window_stability(counts: DataFrame, reference: list[float]) -> DataFrame:
     """PSI and flag per finished window against reference shares per bin."""
     index = F.lit(0.0)
@@ -67,7 +78,7 @@ def window_stability(counts: DataFrame, reference: list[float]) -> DataFrame:
         actual = F.col(f"bin_{i}") / F.col("n")
         actual = F.when(actual == 0, F.lit(FLOOR)).otherwise(actual)
         index = index + (actual - floor) * F.log(actual / floor)
-    return counts.select("window_start", "n", "mean", "std", index.alias("psi")).withColumn(
+    return counts.select("window_start", "n", "mean", "std", index.alias("psi"), *[c for c in ("open",) if c in counts.columns]).withColumn(
         "flag", drift_flag(F.col("psi")))
 
 
@@ -92,19 +103,8 @@ def window_quality(stream: DataFrame, time: str, score: str, outcome: str, lengt
     return stream.withWatermark(time, late).groupBy(F.window(time, length).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.pow(p - y, F.lit(2.0))).alias("brier_score"),
         cell(high, 1).alias("tp"), cell(high, 0).alias("fp"),
-        cell(~high, 1).alias("fn"), cell(~high, 0).alias("tn"),
-    ).select(F.col("w.start").alias("window_start"), "n", "brier_score", "tp", "fp", "fn", "tn")
-
-
-def rank_metrics_per_batch(score: str, outcome: str, sink: str) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` function: exact rank metrics of each micro-batch. Each batch
-    has its own folder, so a replayed batch replaces its earlier result."""
-    def measure(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            rows = full_metrics(batch.withColumn("batch", F.lit(number)), score, outcome, ["batch"])
-            rows.write.mode("overwrite").parquet(f"{sink}/number={number}")
-
-    return measure
+        cell(~high, 1).alias("fn"), cell(~high, 0).alias("tn"), F.max(time).alias("last"),
+    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "last", "n", "brier_score", "tp", "fp", "fn", "tn")
 
 
 def run_to_table(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
@@ -113,8 +113,3 @@ def run_to_table(stream: DataFrame, sink: str, checkpoint: str, mode: str = "app
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
 
-
-def run_batches(stream: DataFrame, measure: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    query = (stream.writeStream.foreachBatch(measure).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from riskloom.functions.numbers import micro
 from riskloom.operators.scoring import SCORECARD, logistic, scorecard_margin
 from riskloom.plans import warehouse
+from riskloom.schema import NUMERIC
 
 # Second scorecard, so that model comparisons have two models to compare.
 OTHER_CARD = {"intercept": -1.5, "N_MONTHS_DELINQUENT": 0.20, "PAY_0_LATE": 0.60, "UTIL_AVG": 0.30}
@@ -38,3 +39,9 @@ def monitored(spark: SparkSession, folder: str) -> DataFrame:
     """Scored test fold in four monitoring periods, by ID."""
     return warehouse.scored_customers(spark, folder).withColumn(
         "period", (F.lit(1) + F.col("ID") % 4).cast("int"))
+
+
+def six_features(df: DataFrame) -> DataFrame:
+    """The numeric features at six decimals, all else as it is: a trend that is zero but for its
+    last bit would otherwise fall on either side of a cut at zero."""
+    return df.withColumns({c: F.expr(f"CAST(floor(CAST(`{c}` AS DOUBLE) * 1e6D + 0.4999D) AS DOUBLE) / 1e6D") for c in NUMERIC})

@@ -13,7 +13,7 @@ from riskloom.schema import ID, NUMERIC, TARGET
 from riskloom.session import cut_lineage, scratch_path
 from riskloom.sources.accounts import as_json, write_results
 from riskloom.sources.panel import read_table
-from verification.common import monitored, six, two_models
+from verification.common import monitored, six, six_features, two_models
 from verification.oracle import FEATURES, MODELS, SCORED, psi
 from verification.oracle import six as sql_six
 
@@ -188,10 +188,11 @@ def d7_triggers(spark, d):
     validated = metrics.full_metrics(
         W.scored_customers(spark, d).withColumn("model", F.lit("scorecard")), "predicted_pd", "actual_default", MODEL_KEY)
     periods = metrics.full_metrics(current, "predicted_pd", "actual_default", ["period"])
-    return six(drift.retraining_triggers(train, current, validated, periods, "period", _DRIFT_FEATURES))
+    return six(drift.retraining_triggers(six_features(train), six_features(current), validated, periods, "period", NUMERIC))
 
 
-_D7 = SCORED + "," + psi("train", "scored", ["predicted_pd", *_DRIFT_FEATURES], by="1 + ID % 4") + ", " + MODELS[
+_D7 = SCORED + "," + psi("train", "scored", ["predicted_pd", *NUMERIC], by="1 + ID % 4",
+                             value=lambda f: f if f == "predicted_pd" else sql_six(f"CAST({f} AS DOUBLE)")) + ", " + MODELS[
     MODELS.index("two AS ("):].replace(
     MODELS[MODELS.index("two AS ("):MODELS.index("curve AS (")],
     "two AS (SELECT 1 + ID % 4 AS model, predicted_pd AS p, actual_default AS y FROM scored "

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import drift, scoring
+from riskloom.operators import drift, metrics, scoring
 from riskloom.plans import warehouse as W
-from riskloom.schema import ID, TARGET
-from riskloom.session import scratch_path
+from riskloom.schema import ID, NUMERIC, TARGET
+from riskloom.session import cut_lineage, scratch_path
 from riskloom.sources.panel import read_table
-from riskloom.streaming import monitoring, scoring as arriving
-from verification.common import six
-from verification.oracle import PANEL, SCORED, psi
+from riskloom.streaming import history, monitoring, scoring as arriving
+from verification.common import monitored, six, six_features
+from verification.oracle import MODELS, PANEL, SCORED, psi
 from verification.oracle import six as sql_six
+from verification.scores import ORACLE as _SCORES
+
+ORACLE_D7 = _SCORES["d7_retraining_triggers"]
 
 QUERIES, ORACLE = {}, {}
 
@@ -64,9 +67,9 @@ def st2_windows(spark, d):
     edges = monitoring.fixed_edges(drift.stability_edges(reference, ["value"]))
     counts = monitoring.window_counts(stream, "ts", "value", edges)
     sink = scratch_path(spark, "windows")
-    monitoring.run_to_table(counts, sink, scratch_path(spark, "progress"))
+    history.run_upserts(counts, sink, scratch_path(spark, "progress"), "update")
     shares = monitoring.reference_shares(reference, "value", edges)
-    return six(monitoring.window_stability(spark.read.parquet(sink), shares)).withColumn(
+    return six(monitoring.window_stability(monitoring.newest_windows(spark.read.parquet(sink)), shares)).withColumn(
         "window_start", monitoring.utc_day("window_start"))
 
 
@@ -80,37 +83,102 @@ def st2_quality(spark, d):
     _, stream = _events(spark, d)
     sink = scratch_path(spark, "quality")
     quality = monitoring.window_quality(_scored_events(stream), "ts", "p", "y")
-    monitoring.run_to_table(quality, sink, scratch_path(spark, "progress"))
-    return six(spark.read.parquet(sink)).withColumn("window_start", monitoring.utc_day("window_start"))
+    history.run_upserts(quality, sink, scratch_path(spark, "progress"), "update")
+    return six(monitoring.newest_windows(spark.read.parquet(sink))).withColumn("window_start", monitoring.utc_day("window_start"))
 
 
 def st2_ranks(spark, d):
-    _, stream = _events(spark, d)
+    """Exact rank metrics per day from state that merges however the rows arrive."""
+    _, stream = _events(history.with_state(spark), d)
     sink = scratch_path(spark, "ranks")
-    measure = monitoring.rank_metrics_per_batch("p", "y", sink)
-    monitoring.run_batches(_scored_events(stream), measure, scratch_path(spark, "progress"))
-    return six(spark.read.parquet(sink).select("roc_auc", "pr_auc", "ks", "brier_score", "tp"))
+    history.run_upserts(history.score_counts(_scored_events(stream), "ts", "p", "y"), sink, scratch_path(spark, "progress"))
+    return six(history.window_rank_metrics(spark.read.parquet(sink)).drop("threshold")).withColumn(
+        "window_start", monitoring.utc_day("window_start"))
+
+
+def st2_sliding(spark, d):
+    """PSI of the event value over three days, every day."""
+    events, stream = _events(spark, d)
+    reference = _reference(events)
+    edges = monitoring.fixed_edges(drift.stability_edges(reference, ["value"]))
+    counts = monitoring.window_counts(stream, "ts", "value", edges, length="3 days", slide="1 day")
+    sink = scratch_path(spark, "sliding")
+    history.run_upserts(counts, sink, scratch_path(spark, "progress"), "update")
+    shares = monitoring.reference_shares(reference, "value", edges)
+    rows = monitoring.window_stability(monitoring.newest_windows(spark.read.parquet(sink)), shares)
+    return six(rows.select("window_start", "n", "psi", "open")).withColumn("window_start", monitoring.utc_day("window_start"))
+
+
+def _replayed_periods(spark, d):
+    """The scored test fold as a stream: a day per monitoring period, in files that arrive one by one."""
+    folder = scratch_path(spark, "periods")
+    day = F.timestamp_micros(F.lit(1704067200_000000) + F.col("period").cast("long") * 86400_000000 + F.col(ID) % 86400 * 1_000_000)
+    landed = six_features(monitored(spark, d)).withColumn("ts", day)
+    for period in range(1, 5):
+        landed.filter(F.col("period") == period).coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def d7_stream(spark, d):
+    """Retraining triggers of replayed periods, from state that goes on from one period to the next."""
+    history.with_state(spark)
+    train = six_features(W.scored_population(spark, d).filter(F.col("fold") == "train"))
+    features = ["predicted_pd", *NUMERIC]
+    edges = drift.stability_edges(train, features)
+    expected = cut_lineage(drift.reference_counts(train, features, edges))
+    stream = _replayed_periods(spark, d)
+    day, late = "1 day", "2 days"
+    parts = {
+        "scores": (history.score_counts(stream(), "ts", "predicted_pd", "actual_default", day, late), "append"),
+        "bands": (history.band_history(stream(), "ts", day, late), "append"),
+        "bins": (history.feature_counts(stream(), "ts", features, edges, day, late), "update"),
+    }
+    written = {}
+    for name, (rows, mode) in parts.items():
+        written[name], progress = scratch_path(spark, name), scratch_path(spark, "progress")
+        history.run_upserts(rows, written[name], progress, mode)
+    validated = metrics.full_metrics(
+        W.scored_customers(spark, d).withColumn("model", F.lit("scorecard")), "predicted_pd", "actual_default", ["model"])
+    rows = history.replayed_triggers(*[spark.read.parquet(written[n]) for n in parts], edges, expected, validated)
+    number = ((F.col("period") - 1704067200_000000) / 86400_000000).cast("int")
+    return six(rows.withColumn("period", number))
 
 
 register("st1_scored_stream", st1_scored, f"""WITH {SCORED}
     SELECT ID, predicted_pd, risk_band, CAST(predicted_pd >= 0.5 AS INTEGER) AS predicted_class FROM banded""")
 register("st1_quarantine_stream", st1_quarantine, f"""WITH {PANEL}
     SELECT ID, 'SEX out of range' AS problems FROM panel WHERE ID % 7 = 0""")
-# the last day stays open: its window closes only when the watermark passes its end
-_CLOSED = "WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"
+# a day is open until the watermark passes its end
+_OPEN = "CAST({} + INTERVAL 1 DAY > (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR AS INTEGER)"
 register("st2_window_stability", st2_windows, """WITH before AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'),
-    days AS (SELECT ts, value, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day FROM events """ + _CLOSED + "), " + psi(
+    days AS (SELECT ts, value, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day FROM events), """ + psi(
     "before", "days", ["value"], by="day") + f"""
     SELECT strftime(DATE '2024-01-01' + CAST(period AS INTEGER), '%Y-%m-%d') AS window_start, n, {sql_six("mean")} AS mean,
            {sql_six("std")} AS std, {sql_six("psi")} AS psi,
            CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate_shift_investigate'
-                ELSE 'major_shift_investigate_urgently' END AS flag
+                ELSE 'major_shift_investigate_urgently' END AS flag,
+           {_OPEN.format("DATE '2024-01-01' + CAST(period AS INTEGER)")} AS open
     FROM psi JOIN (SELECT day AS period, COUNT(*) AS n, AVG(value) AS mean, stddev_pop(value) AS std FROM days GROUP BY 1) USING (period)""")
 register("st2_window_quality", st2_quality, f"""
     WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS window_start, value / (value + 50) AS p,
-                      CAST(event_type = 'purchase' AS INTEGER) AS y FROM events {_CLOSED})
+                      CAST(event_type = 'purchase' AS INTEGER) AS y,
+                      {_OPEN.format("date_trunc('day', ts)")} AS open FROM events)
     SELECT window_start, COUNT(*) AS n, {sql_six("AVG(power(p - y, 2))")} AS brier_score,
            COUNT(*) FILTER (WHERE p >= 0.5 AND y = 1) AS tp, COUNT(*) FILTER (WHERE p >= 0.5 AND y = 0) AS fp,
-           COUNT(*) FILTER (WHERE p < 0.5 AND y = 1) AS fn, COUNT(*) FILTER (WHERE p < 0.5 AND y = 0) AS tn
+           COUNT(*) FILTER (WHERE p < 0.5 AND y = 1) AS fn, COUNT(*) FILTER (WHERE p < 0.5 AND y = 0) AS tn, MAX(open) AS open
     FROM e GROUP BY window_start""")
-register("st2_rank_metrics", st2_ranks)
+_DAILY = MODELS[MODELS.index("two AS ("):].replace(
+    MODELS[MODELS.index("two AS ("):MODELS.index("curve AS (")],
+    "two AS (SELECT strftime(ts, '%Y-%m-%d') AS model, value / (value + 50) AS p, CAST(event_type = 'purchase' AS INTEGER) AS y FROM events),\n")
+_SHOWN = ", ".join(f"{sql_six(c)} AS {c}" for c in ("roc_auc", "pr_auc", "ks", "brier_score", "precision", "recall", "f1"))
+register("st2_rank_metrics", st2_ranks, f"""WITH {_DAILY}
+    SELECT model AS window_start, {_SHOWN}, tn, fp, fn, tp, {_OPEN.format("CAST(model AS DATE)")} AS open
+    FROM classed JOIN ranks USING (model)""")
+register("st2_sliding_stability", st2_sliding, """WITH before AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+    days AS (SELECT value, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) - back AS day FROM events, range(3) AS r(back)), """ + psi(
+    "before", "days", ["value"], by="day") + f"""
+    SELECT strftime(DATE '2024-01-01' + CAST(period AS INTEGER), '%Y-%m-%d') AS window_start, n, {sql_six("psi")} AS psi,
+           CAST(DATE '2024-01-01' + CAST(period AS INTEGER) + INTERVAL 3 DAY > (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR AS INTEGER) AS open
+    FROM psi JOIN (SELECT day AS period, COUNT(*) AS n FROM days GROUP BY 1) USING (period)""")
+register("d7_triggers_on_stream", d7_stream, ORACLE_D7)
