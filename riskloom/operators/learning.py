@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.numbers import micro
 from riskloom.functions.rowwise import number
+from riskloom.operators import logistic
 from riskloom.operators.ranking import exact_quantiles
 from riskloom.operators.split import class_weights, part_number
 from riskloom.schema import CATEGORICAL, ID, NUMERIC, TARGET
@@ -92,13 +93,6 @@ def _weights(train: DataFrame, kind: str | None) -> tuple[Column, float]:
     return column, total
 
 
-def logistic_regression(total_weight: float, c: float = 0.1) -> LogisticRegression:
-    """Penalty ||w||^2/2 + C * sum(loss) in the scale of the averaged loss."""
-    return LogisticRegression(
-        labelCol=TARGET, featuresCol="features", weightCol=WEIGHT, maxIter=3000,
-        regParam=1.0 / (c * total_weight), elasticNetParam=0.0, standardization=False)
-
-
 def random_forest(trees: int = 300) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=TARGET, featuresCol="features", weightCol=WEIGHT, numTrees=trees, maxDepth=8,
@@ -120,7 +114,7 @@ def fit_classifier(encoded: DataFrame, name: str, weighting: str | None, c: floa
     weight, total = _weights(encoded, weighting)
     weighted = encoded.withColumn(WEIGHT, weight)
     if name == "logistic_regression":
-        return logistic_regression(total, c).fit(weighted)
+        return logistic.fit(weighted, TARGET, WEIGHT, total, c)
     estimator = random_forest() if name == "random_forest" else gradient_boosting()
     return estimator.fit(weighted)
 

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskloom.operators import explain, learning, metrics, resample, scoring
+from riskloom.operators import explain, learning, logistic, metrics, resample, scoring
 from riskloom.plans import training, warehouse as W
 from riskloom.schema import ID, TARGET
 from riskloom.session import cut_lineage, scratch_path
 from verification.common import six
+from verification.oracle import SCORED
+from verification.oracle import six as sql_six
+from verification.scores import _with
 
 QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
 LOGISTIC, FOREST, BOOSTING = training.CANDIDATES
 
 
-def register(name, query):
+def register(name, query, sql=None):
     QUERIES[name] = query
+    if sql is not None:
+        ORACLE[name] = sql
 
 
 def _prep(spark, d) -> PipelineModel:
@@ -67,6 +75,19 @@ def l15_retraining(spark, d):
     return six(training.comparison_with_earlier(table, _imbalance(spark, d)))
 
 
+def l6_optimum(spark, d):
+    """Whether the fit ends at the optimum: there weighted scores add up to weighted outcomes and the gradient is zero."""
+    encoded = learning.encode(_prep(spark, d), W.train_fold(spark, d))
+    weight, total = learning._weights(encoded, "balanced")
+    model = _model(spark, d, LOGISTIC).stages[-1]
+    beta = np.append(model.coefficients.toArray(), model.intercept)
+    rows = logistic.weighted_rows(encoded.withColumn("w", weight), TARGET, "w")
+    steepest = np.abs(logistic.statistics(rows, beta, total, 1.0 / (0.1 * total)).gradient).max()
+    return six(model.transform(encoded.withColumn("w", weight)).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("w") * vector_to_array("probability")[1]).alias("weighted_positives"),
+        F.lit(int(steepest < 1e-6)).alias("at_optimum")))
+
+
 def _choice(spark, d):
     test = W.test_fold(spark, d)
     return training.brier_choice(learning.predict_with(_model(spark, d, LOGISTIC), test), _calibrated(spark, d)(test))
@@ -133,6 +154,9 @@ def sc3_training(spark, d):
 register("l4_one_hot", l4_one_hot)
 register("l5_column_transformer", l5_encoded)
 register("l6_logistic_regression", _metrics_of(LOGISTIC))
+register("l6_optimum", l6_optimum, _with(SCORED, f"""
+    SELECT COUNT(*) AS rows, {sql_six("SUM(actual_default * (SELECT COUNT(*) FROM train) / (2.0 * (SELECT COUNT(*) FROM train WHERE actual_default = 1)))")} AS weighted_positives,
+           1 AS at_optimum FROM train"""))
 register("l7_random_forest", _metrics_of(FOREST))
 register("l8_gradient_boosting", _metrics_of(BOOSTING))
 register("l10_imbalance_study", lambda s, d: six(_imbalance(s, d)))
