@@ -64,6 +64,7 @@ def reference_counts(reference: DataFrame, features: list[str], edges: DataFrame
 
 
 def index_of_counts(edges: DataFrame, expected_counts: DataFrame, actual_counts: DataFrame, by: list[str]) -> DataFrame:
+    actual_counts = cut_lineage(actual_counts)  # a row per bin, read twice below
     grid = actual_counts.select(*by, "feature").distinct().join(_all_bins(edges), "feature")
     filled = grid.join(
         _shares(expected_counts, [], "expected"), ["feature", "bin"], "left"

@@ -48,40 +48,38 @@ def running_totals(counts: DataFrame, value: str, measures: list[str],
 
 def _brackets(df: DataFrame, columns: list[str], probabilities: list[float],
               accuracy: int) -> DataFrame:
-    """Per column and probability, two values that enclose the
-    exact quantile. The sketch errs by at most 1/accuracy in rank; the margin is
-    four times that, and two rows more for the ranks between which a quantile is
-    interpolated. It is the same rule for tables of any size."""
-    sizes = df.agg(*[F.expr(f"count(`{c}`) AS `{c}`") for c in columns]).first()
-
-    def probes(c: str) -> str:
-        margin = 4.0 / accuracy + 2.0 / max(sizes[c], 1)
-        return ", ".join(
-            [f"{max(p - margin, 0.0)!r}D" for p in probabilities]
-            + [f"{min(p + margin, 1.0)!r}D" for p in probabilities])
+    """Per column and probability, two values that enclose the exact quantile.
 
+    The sketch errs by at most 1/accuracy in rank; the margin is four times that, and
+    the rest is for the two ranks between which a quantile is interpolated. Where a column
+    has so few values that two ranks are more than the rest, its least and greatest value
+    enclose everything. Count, ends and sketch come from one pass.
+    """
+    margin = 10.0 / accuracy
+    probes = ", ".join([f"{max(p - margin, 0.0)!r}D" for p in probabilities]
+                       + [f"{min(p + margin, 1.0)!r}D" for p in probabilities])
     one_row = df.agg(*[
-        F.expr(f"""named_struct('feature', '{c}', '_at',
-                   percentile_approx(CAST(`{c}` AS DOUBLE), array({probes(c)}), {accuracy})) AS `{c}`""")
+        F.expr(f"""named_struct('feature', '{c}', '_few', count(`{c}`) < {accuracy // 3},
+                   '_least', min(CAST(`{c}` AS DOUBLE)), '_most', max(CAST(`{c}` AS DOUBLE)),
+                   '_at', percentile_approx(CAST(`{c}` AS DOUBLE), array({probes}), {accuracy})) AS `{c}`""")
         for c in columns
     ])
     listed = ", ".join(f"`{c}`" for c in columns)
     n = len(probabilities)
     return one_row.selectExpr(f"inline(array({listed}))").selectExpr(
-        "feature", *[f"_at[{i}] AS _lo{i}" for i in range(n)], *[f"_at[{n + i}] AS _hi{i}" for i in range(n)])
+        "feature",
+        *[f"CASE WHEN _few THEN _least ELSE _at[{i}] END AS _lo{i}" for i in range(n)],
+        *[f"CASE WHEN _few THEN _most ELSE _at[{n + i}] END AS _hi{i}" for i in range(n)])
 
 
-def _fold_outside(values: DataFrame, n: int) -> DataFrame:
-    """Count values inside any bracket one by one and each stretch between two
-    brackets as a single row, so only a small part of the data is shuffled."""
+def _folded(values: DataFrame, n: int) -> DataFrame:
+    """Values inside any bracket with their counts, and each stretch between brackets as a
+    single row, so only a small part of the data is shuffled. `_part` numbers the stretches
+    of values between two bracket ends in ascending order."""
     inside = " OR ".join(f"(value >= _lo{i} AND value <= _hi{i})" for i in range(n))
-    passed = " + ".join(f"CAST(value > _hi{i} AS INT)" for i in range(n))
-    tagged = values.selectExpr("feature", "value", f"{inside} AS _inside", f"{passed} AS _passed")
-    return tagged.selectExpr(
-        "feature", "value", "CAST(_inside AS INT) AS _inside",
-        "CASE WHEN _inside THEN -1 ELSE _passed END AS _stretch",
-        "CASE WHEN _inside THEN value END AS _exact",
-    ).groupBy("feature", "_inside", "_stretch", "_exact").agg(
+    part = " + ".join(f"CAST(value >= _lo{i} AS INT) + CAST(value > _hi{i} AS INT)" for i in range(n))
+    tagged = values.selectExpr("feature", "value", f"{part} AS _part", f"CASE WHEN {inside} THEN value END AS _exact")
+    return tagged.groupBy("feature", "_part", "_exact").agg(
         F.min("value").alias("value"), F.count(F.lit(1)).alias("n"))
 
 
@@ -89,8 +87,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
                     accuracy: int = 10000) -> DataFrame:
     """Exact quantiles, linearly interpolated, NULLs left out: (feature, prob, value).
 
-    Reads the input three times: for the number of values, for a sketch that encloses
-    each quantile, and to count exactly. Give it a stored table rather than a long
+    Reads the input twice: for a sketch that encloses each quantile, and to count exactly.
+    The brackets also cut the values into ranges whose totals are added up, so the ranks
+    inside one bracket are all that a task sees. Give it a stored table rather than a long
     computation.
     """
     n = len(probabilities)
@@ -98,10 +97,19 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     # one row per column of the table
     values = to_long(df, columns).filter(F.col("value").isNotNull()).join(
         F.broadcast(brackets), "feature")
-    ranked = running_totals(_fold_outside(values, n), "value", ["n", "_inside"], ["feature"])
+    folded = cut_lineage(_folded(values, n))  # both branches below read it
+    # at most two parts per probability and one more
+    earlier = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = folded.groupBy("feature", "_part").agg(F.sum("n").alias("_size")).select(
+        "feature", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_size").over(Window.partitionBy("feature")).cast("double").alias("total_n"))
+    inside = Window.partitionBy("feature", "_part").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = folded.withColumn("cum_n", F.sum("n").over(inside)).join(offsets, ["feature", "_part"]).withColumn(
+        "cum_n", F.col("cum_n") + F.col("_before"))
 
     # a row holds the ranks cum_n - n .. cum_n - 1; each wanted rank lies in one row
-    exact = ("CASE WHEN _inside = 1 THEN value "
+    exact = ("CASE WHEN _exact IS NOT NULL THEN value "
              "ELSE CAST(raise_error('quantile outside its bracket') AS DOUBLE) END")
     wanted = []
     for i, p in enumerate(probabilities):
