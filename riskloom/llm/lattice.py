@@ -36,7 +36,7 @@ BLANK = "▁"
 #: Stands for a U+2581 of the text itself until it is spelled; no text or piece has a lone surrogate.
 LITERAL = "\udc00"
 #: Words to `SHORT` characters are filtered with those of the same length, longer ones with those up to an eighth longer.
-SHORT, WINDOW, EDGES = 48, 1 << 14, 1 << 24
+SHORT, WINDOW, EDGES = 48, 1 << 14, 1 << 22
 #: Words with the blanks before them; ASCII signs apart from other characters where no piece has both.
 _SIGN = r"\x00-/:-@\[-`{-\x7f"
 _WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -218,7 +218,7 @@ class Encoder:
     def __init__(self, path: str, sharpness: float, seed: int):
         self.lattices = Lattices(load(path), sharpness)
         self.seed = seed
-        self.memo = Memo(self._add, limit=400_000)
+        self.memo = Memo(self._add, limit=150_000)
 
     def _add(self, words: list[str]) -> list[int]:
         if not self.memo.table:
