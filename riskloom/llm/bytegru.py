@@ -16,7 +16,6 @@ alphabetical order; without training rows everything is "und".
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +27,11 @@ from riskloom.llm.batches import Memo, append_columns, hashed_sample, quoted
 WIDTH = 24
 UNKNOWN = "und"
 _ONE_HOT = np.eye(256, dtype=np.float32)
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def _has_letter(word: str) -> bool:
+    """Letters only: number signs such as fractions and Roman numerals are none."""
+    return word.isalpha() or any(map(str.isalpha, word))
 
 
 @dataclass
@@ -170,7 +173,7 @@ def _document(model: ByteGru):
             store[0], store[1] = np.zeros((0, classes), np.float32), 0
         pieces, owner = [], []
         for k, word in enumerate(words):
-            if classes and _LETTER.search(word):
+            if classes and _has_letter(word):
                 raw = word.encode("utf-8", "surrogatepass")
                 for i in range(0, len(raw), WIDTH):
                     pieces.append(raw[i : i + WIDTH])

@@ -249,3 +249,12 @@ def test_products_of_large_numbers_stay_exact():
     assert annuli.products(q, x).tolist() == [[3_000_000_001 * 2_999_999_999 - 35, 3_000_000_008]]
     packed = annuli._packed(q.astype(float))
     assert annuli._unpacked(pa.concat_arrays([packed, annuli._packed(np.array([[-5.0, 1024.0]]))]), 2).tolist() == [[3_000_000_001, 7], [-5, 1024]]
+
+
+# 7 letters
+
+
+def test_number_signs_are_no_letters():
+    from riskloom.llm import bytegru
+
+    assert [bytegru._has_letter(w) for w in ("½", "²", "①", "Ⅷ", "1st", "日本", "é", "_", "३")] == [False] * 4 + [True, True, True, False, False]
