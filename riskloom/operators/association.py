@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.numbers import metric_rows, to_long
-from riskloom.functions.tails import chi_square_p, student_p
+from riskloom.functions.tails import chi_square_tail, student_two_sided
 from riskloom.schema import CATEGORICAL, TARGET
 
 # The numeric columns of the standard suite.
@@ -94,23 +94,25 @@ def correlation(df: DataFrame, variables: list[str] = SUITE_NUMERIC,
 
 
 def with_chi_square_p(results: DataFrame) -> DataFrame:
-    return results.withColumn("p_value", chi_square_p(F.col("chi2"), F.col("dof").cast("double")))
+    return results.withColumn("p_value", chi_square_tail(F.col("chi2"), F.col("dof")))
 
 
 def with_student_p(results: DataFrame) -> DataFrame:
-    return results.withColumn("p_value", student_p("t_stat", "dof"))
+    return results.withColumn("p_value", student_two_sided(F.col("t_stat"), F.col("dof")))
 
 
 def association_suite(df: DataFrame, target: str = TARGET) -> DataFrame:
     """All tests as (test, variable, metric, value)."""
+    return stacked_tests(with_chi_square_p(chi_square(df, target=target)),
+                         with_student_p(group_means(df, target=target)), correlation(df, target=target))
+
+
+def stacked_tests(chi: DataFrame, groups: DataFrame, correlations: DataFrame) -> DataFrame:
     def long(results: DataFrame, test: str, metrics: list[str]) -> DataFrame:
         numbers = results.select("variable", *[F.col(m).cast("double") for m in metrics])
         return numbers.unpivot(["variable"], metrics, "metric", "value").select(
             F.lit(test).alias("test"), "variable", "metric", "value")
 
-    chi = long(with_chi_square_p(chi_square(df, target=target)), "chi_square",
-               ["chi2", "p_value", "dof", "cramers_v"])
-    groups = long(with_student_p(group_means(df, target=target)), "group_test",
-                  ["mean_no_default", "mean_default", "t_stat", "p_value", "cohens_d"])
-    return chi.unionByName(groups).unionByName(
-        long(correlation(df, target=target), "correlation", ["r"]))
+    return long(chi, "chi_square", ["chi2", "p_value", "dof", "cramers_v"]).unionByName(
+        long(groups, "group_test", ["mean_no_default", "mean_default", "t_stat", "p_value", "cohens_d"])).unionByName(
+        long(correlations, "correlation", ["r"]))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions.tails import _chi_square_tail, _student_two_sided
+from riskloom.functions.tails import chi_square_tail, student_two_sided
 from riskloom.operators import association, drift, metrics
 from riskloom.operators.ranking import exact_quantiles, running_totals
 
@@ -162,16 +162,21 @@ def test_t_and_effect_size_have_opposite_signs(spark):
     assert row["cohens_d"] == pytest.approx((b.mean() - a.mean()) / math.sqrt((a.var(ddof=1) + b.var(ddof=1)) / 2))
 
 
-def test_tail_probabilities():
-    assert _chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-12)
-    assert _chi_square_tail(5.991464547107979, 2) == pytest.approx(0.05, abs=1e-12)
-    assert _chi_square_tail(0.0, 3) == 1.0
+def test_tail_probabilities(spark):
+    chi = [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (0.0, 3, 1.0), (18.307038053275146, 10, 0.05), (1.0, 2, math.exp(-0.5)), (700.0, 2, math.exp(-350))]
+    rows = spark.createDataFrame([(float(x), d, float(p)) for x, d, p in chi], "x double, d int, p double")
+    for r in rows.select("p", chi_square_tail(F.col("x"), F.col("d")).alias("found")).collect():
+        assert r["found"] == pytest.approx(r["p"], abs=1e-12, rel=1e-9)
+    student = []
     for t in (0.3, -1.0, 2.5, 9.0):  # closed forms for one, two and four degrees of freedom
-        assert _student_two_sided(t, 1) == pytest.approx(1 - 2 * math.atan(abs(t)) / math.pi, abs=1e-12)
-        assert _student_two_sided(t, 2) == pytest.approx(1 - abs(t) / math.sqrt(t * t + 2), abs=1e-12)
         u = abs(t) / math.sqrt(t * t + 4)
-        assert _student_two_sided(t, 4) == pytest.approx(1 - u * (1.5 - 0.5 * u * u), abs=1e-12)
-    assert _student_two_sided(0.0, 7) == 1.0
+        student += [(t, 1.0, 1 - 2 * math.atan(abs(t)) / math.pi), (t, 2.0, 1 - abs(t) / math.sqrt(t * t + 2)), (t, 4.0, 1 - u * (1.5 - 0.5 * u * u))]
+    student += [(0.0, 7.0, 1.0), (1.959963984540054, 1e7, 0.05)]
+    rows = spark.createDataFrame(student, "t double, d double, p double")
+    for r in rows.select("p", student_two_sided(F.col("t"), F.col("d")).alias("found")).collect():
+        assert r["found"] == pytest.approx(r["p"], abs=1e-7 if r["p"] == 0.05 else 1e-12)
+    nothing = rows.limit(1).select(chi_square_tail(F.lit(1.0), F.lit(0)).alias("a"), student_two_sided(F.lit(1.0), F.lit(None).cast("double")).alias("b"))
+    assert nothing.first().asDict() == {"a": None, "b": None}
 
 
 def test_triggers_need_two_periods_in_a_row(spark):

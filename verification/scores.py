@@ -116,7 +116,24 @@ register("t2_chi_square", lambda s, d: six(association.chi_square(W.customers(s,
          _with(FEATURES, ", " + _chi_sql("feat", [(c, TARGET) for c in ["SEX", "EDUCATION", "MARRIAGE"]])).replace(",\n, ", ", "))
 register("t2_chi_square_labels", lambda s, d: six(association.chi_square(
     read_table(s, d, "labels"), ["quality"], "toxic")), "WITH " + _chi_sql("labels", [("quality", "toxic")]))
-register("t2_p_values", lambda s, d: association.with_chi_square_p(association.chi_square(W.customers(s, d))))
+
+
+def _chi_with_p(spark, d):
+    return six(association.with_chi_square_p(six(association.chi_square(W.customers(spark, d)))))
+
+
+def _means_with_p(spark, d):
+    return six(association.with_student_p(six(association.group_means(W.customers(spark, d)))))
+
+
+# sums of the series of the lower incomplete gamma and beta functions, every term through lgamma
+_CHI_P = sql_six("""CASE WHEN chi2 <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(2000), lambda i:
+    exp(-chi2 / 2 + (dof / 2.0 + i) * ln(chi2 / 2) - lgamma(dof / 2.0 + i + 1))))) END""")
+_STUDENT_P = sql_six("""CASE WHEN t_stat = 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(4000), lambda i:
+    exp((i + 0.5) * ln(t_stat * t_stat / (dof + t_stat * t_stat)) + dof / 2 * ln(dof / (dof + t_stat * t_stat))
+        + lgamma(dof / 2 + 0.5 + i) - lgamma(dof / 2) - lgamma(1.5 + i))))) END""")
+_CHI_P_SQL = f"SELECT *, {_CHI_P} AS p_value FROM ({ORACLE['t2_chi_square']})"
+register("t2_p_values", _chi_with_p, _CHI_P_SQL)
 _SUITE = association.SUITE_NUMERIC
 register("t3_group_means", lambda s, d: six(association.group_means(W.customers(s, d))), _with(FEATURES, " UNION ALL ".join(f"""
     SELECT '{c}' AS variable, {sql_six("m0")} AS mean_no_default, {sql_six("m1")} AS mean_default,
@@ -127,10 +144,22 @@ register("t3_group_means", lambda s, d: six(association.group_means(W.customers(
                  var_samp({c}) FILTER (WHERE default_next_month = 0) AS v0, var_samp({c}) FILTER (WHERE default_next_month = 1) AS v1,
                  COUNT({c}) FILTER (WHERE default_next_month = 0) AS n0, COUNT({c}) FILTER (WHERE default_next_month = 1) AS n1
           FROM feat)""" for c in _SUITE)))
-register("t3_p_values", lambda s, d: association.with_student_p(association.group_means(W.customers(s, d))))
+_STUDENT_P_SQL = f"SELECT *, {_STUDENT_P} AS p_value FROM ({ORACLE['t3_group_means']})"
+register("t3_p_values", _means_with_p, _STUDENT_P_SQL)
 register("t4_correlation", lambda s, d: six(association.correlation(W.customers(s, d))), _with(FEATURES, " UNION ALL ".join(
     f"SELECT '{c}' AS variable, {sql_six(f'corr({c}, default_next_month)')} AS r FROM feat" for c in _SUITE)))
-register("t5_association_suite", lambda s, d: association.association_suite(W.customers(s, d)))
+
+
+def t5_suite(spark, d):
+    return association.stacked_tests(_chi_with_p(spark, d), _means_with_p(spark, d), six(association.correlation(W.customers(spark, d))))
+
+
+_LONG = " UNION ALL ".join(
+    f"SELECT '{test}' AS test, variable, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ({sql})"
+    for test, sql, names in (("chi_square", _CHI_P_SQL, ["chi2", "p_value", "dof", "cramers_v"]),
+                             ("group_test", _STUDENT_P_SQL, ["mean_no_default", "mean_default", "t_stat", "p_value", "cohens_d"]),
+                             ("correlation", ORACLE["t4_correlation"], ["r"])) for m in names)
+register("t5_association_suite", t5_suite, _LONG)
 
 # ---- drift ----
 
