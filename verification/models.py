@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import explain, learning, logistic, metrics, resample, scoring
 from riskloom.plans import training, warehouse as W
-from riskloom.schema import ID, TARGET
+from riskloom.schema import ID, NUMERIC, TARGET
 from riskloom.session import cut_lineage, scratch_path
 from verification.common import six
 from verification.oracle import SCORED
 from verification.oracle import six as sql_six
-from verification.scores import _with
+from verification.scores import _FILLED, _with
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -60,8 +60,11 @@ def l4_one_hot(spark, d):
 
 
 def l5_encoded(spark, d):
-    encoded = explain.with_array(learning.encode(_prep(spark, d), W.test_fold(spark, d)))
-    return encoded.select(ID, TARGET, F.size("_x").alias("width"), F.col("_x"))
+    """Every encoded value of the test fold by name."""
+    prep = _prep(spark, d)
+    encoded = explain.with_array(learning.encode(prep, W.test_fold(spark, d)))
+    names = F.array(*map(F.lit, learning.feature_names(prep)))
+    return six(encoded.select(ID, F.inline(F.arrays_zip(names.alias("feature"), F.col("_x").alias("value")))))
 
 
 def l11_smote(spark, d):
@@ -151,8 +154,16 @@ def sc3_training(spark, d):
     return training.run_training(W.raw_accounts(spark, d), scratch_path(spark, "training"))
 
 
-register("l4_one_hot", l4_one_hot)
-register("l5_column_transformer", l5_encoded)
+# the codes that the training fold has at the sizes of the tests
+_CODES = {"SEX": 2, "EDUCATION": 4, "MARRIAGE": 3}
+_FLAGS = [(f"{c}_{v}", c, v) for c, most in _CODES.items() for v in range(1, most + 1)]
+register("l4_one_hot", l4_one_hot, _with(SCORED, "SELECT ID, " + ", ".join(
+    f"CAST({c if c != 'MARRIAGE' else 'CASE WHEN ID % 5 = 0 THEN 9 ELSE MARRIAGE END'} = {v} AS DOUBLE) AS {name}" for name, c, v in _FLAGS) + " FROM scored"))
+register("l5_column_transformer", l5_encoded, _with(SCORED + f""", filled AS (SELECT {_FILLED} FROM train),
+    tested AS (SELECT ID, SEX, EDUCATION, MARRIAGE, {_FILLED} FROM scored)""", " UNION ALL ".join(
+        [f"SELECT ID, '{c}' AS feature, " + sql_six(f"({c} - (SELECT AVG({c}) FROM filled)) / coalesce(nullif((SELECT stddev_pop({c}) FROM filled), 0), 1)")
+         + " AS value FROM tested" for c in NUMERIC]
+        + [f"SELECT ID, '{name}', CAST({c} = {v} AS DOUBLE) FROM tested" for name, c, v in _FLAGS])))
 register("l6_logistic_regression", _metrics_of(LOGISTIC))
 register("l6_optimum", l6_optimum, _with(SCORED, f"""
     SELECT COUNT(*) AS rows, {sql_six("SUM(actual_default * (SELECT COUNT(*) FROM train) / (2.0 * (SELECT COUNT(*) FROM train WHERE actual_default = 1)))")} AS weighted_positives,
