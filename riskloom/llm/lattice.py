@@ -36,6 +36,7 @@ BLANK = "▁"
 #: Stands for a U+2581 of the text itself until it is spelled; no text or piece has a lone surrogate.
 LITERAL = "\udc00"
 #: Words to `SHORT` characters are filtered with those of the same length, longer ones with those up to an eighth longer.
+#: A worker's table is emptied beyond EDGES edges (28 bytes each) or 150,000 words.
 SHORT, WINDOW, EDGES = 48, 1 << 14, 1 << 22
 #: Words with the blanks before them; ASCII signs apart from other characters where no piece has both.
 _SIGN = r"\x00-/:-@\[-`{-\x7f"
