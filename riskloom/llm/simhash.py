@@ -11,8 +11,9 @@ Equal fingerprints are one node. A key's members are sorted to one place and com
 numpy; where more than `FEW` share a key they are linked through the words one bit from
 each (two fingerprints within two bits share such a word, and all that share one are
 within two bits of each other), so work is linear and links are stars, not pairs. A key
-with more than `crowd` members is not gathered at all: its members are linked through
-the same words by a grouped minimum over the cluster. All ways give the same components.
+with more than `crowd` members is not gathered at all: keys are counted with partial
+counts, and a crowded key's members are linked through the same words by a grouped
+minimum over the cluster. All ways give the same components.
 
 Defined cases: texts without words (null and empty ones too) have fingerprint zero and are
 linked like any other; fewer words than a shingle has make one shingle; a null id is kept,
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import golay
@@ -35,6 +36,8 @@ from riskloom.session import cut_lineage
 
 SEED, SEGMENTS = 42, ((0, 23), (23, 23), (46, 18))
 FEW = 8
+#: Crowded keys sent to all tasks at most; more of them meet their members under SALTS keys each.
+SENT, SALTS = 100_000, 32
 
 
 def fingerprint(text: bytes | None, width: int) -> int:
@@ -139,10 +142,16 @@ def _link_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(distinct: DataFrame, crowd: int = 4096) -> DataFrame:
     """Links (u, v) that connect all fingerprints within two bits of each other."""
-    counted = _keyed(distinct).withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    shared = counted.where((F.col("n") > 1) & (F.col("n") <= crowd)).select("key", "fp")
+    keyed = _keyed(distinct)
+    crowds = cut_lineage(keyed.groupBy("key").count().where(F.col("count") > crowd).select("key"))
+    if crowds.limit(SENT + 1).count() <= SENT:
+        table, on = F.broadcast(crowds), ["key"]
+    else:
+        keyed = keyed.withColumn("salt", F.pmod(F.hash("fp"), F.lit(SALTS)))
+        table, on = crowds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["key", "salt"]
+    shared = keyed.join(table, on, "left_anti").select("key", "fp").repartition("key")
     near = shared.sortWithinPartitions("key", "fp").mapInArrow(_link_sorted, "u long, v long")
-    crowded = counted.where(F.col("n") > crowd).select("fp").distinct()
+    crowded = keyed.join(table, on, "left_semi").select("fp").distinct()
     ball = F.array(*[F.col("fp").bitwiseXOR(F.lit(int(np.int64(b)))) for b in BALL.view(np.int64)])
     around = crowded.select("fp", F.explode(ball).alias("center"))
     heads = around.groupBy("center").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").select("center", "v")
