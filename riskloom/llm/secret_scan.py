@@ -72,9 +72,10 @@ def base_spans(text: Column) -> Column:
 
 
 def _pairs(token: Column) -> Column:
-    """Places in the model of a token's neighbouring characters."""
-    return F.transform(F.sequence(F.lit(1), F.length(token) - 1),
-                       lambda i: F.ascii(F.substring(token, i, 1)) * ALPHABET + F.ascii(F.substring(token, i + 1, 1)))
+    """Places in the model of a token's neighbouring characters; the token is split once, not searched per character."""
+    codes = F.transform(F.split(token, ""), F.ascii)
+    n = F.greatest(F.length(token) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, 1, n), F.slice(codes, 2, n), lambda a, b: a * ALPHABET + b)
 
 
 def train(samples: DataFrame, token: str = "token", random: str = "random", threshold: float = 0.35, shortest: int = 16) -> MarkovModel:
