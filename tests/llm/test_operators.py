@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import defaultdict
 
@@ -260,6 +261,20 @@ def test_keys_of_letters_or_digits_only_are_judged(spark):
     assert sum(r.n for r in out if r.y == 1) >= 297
 
 
+def test_one_very_long_token_is_read_once(spark):
+    import random
+
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    sample = [("".join(rng.choice(letters) for _ in range(24)), True) for _ in range(3000)] + [("customer_account_total", False)] * 300
+    model = secret_scan.train(spark.createDataFrame(sample, "token string, random boolean"), threshold=0.1)
+    key = "".join(rng.choice(letters) for _ in range(1_000_000))
+    text = spark.createDataFrame([(f"see {key} now",), ("x",), ("",)], "text string")
+    began = time.monotonic()
+    found = secret_scan.find_spans(text, model).select(secret_scan.joined(F.col("found"))).collect()
+    assert [r[0] for r in found] == [f"markov:4:{4 + len(key)}", "", ""] and time.monotonic() - began < 60
+
+
 # 6 quality
 
 
@@ -326,8 +341,9 @@ def test_golay_keys_meet_within_two_errors():
         assert ((a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]).any(axis=(1, 2)).all()
 
 
-@pytest.mark.parametrize("crowd", [4096, 4])
-def test_links_against_all_pairs(spark, crowd):
+@pytest.mark.parametrize(("crowd", "sent"), [(4096, 100_000), (4, 100_000), (4, 0)])
+def test_links_against_all_pairs(spark, crowd, sent, monkeypatch):
+    monkeypatch.setattr(simhash, "SENT", sent)
     rng = np.random.default_rng(1)
     centers = rng.integers(0, 2**63, 20)
     prints = sorted({int(c) ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 4), replace=False)) for c in centers for _ in range(40)} | {0, 1, 7})
@@ -384,6 +400,15 @@ def test_packing_holds_every_token_once(spark, docs):
     check_packing(dict(docs.itertuples(index=False, name=None)), queries.sequences(spark, FOLDER).collect())
 
 
+def test_token_ids_equal_the_library():
+    rng = np.random.default_rng(8)
+    signs = [" ", "  ", "   ", "\n", "\n\n", "\r\n", "\t", "\xa0", "\u3000", "\x85", "\x1c", "a", "Ab", "'s", "'LL", "don't", "12", "½", "é", "e\u0301", "漢字", "🙂", "\u200d", "…", "<|", "<|endoftext|>", "|>", "_", "()"]
+    tokens, model = packing.Tokens(BYTES), Tokenizer.from_file(BYTES)
+    texts = ["".join(rng.choice(signs, rng.integers(1, 14))) for _ in range(4000)] + ["", None, " ", "  ", "a  ", "a \n", "\n\n\na", "word " * 300_000]
+    for text, ids in zip(texts, tokens(texts), strict=True):
+        assert ids.dtype == np.uint32 and ids.tolist() == model.encode(text or "", add_special_tokens=False).ids
+
+
 def test_packing_odd_rows(spark):
     rows = {x[0]: x[1] for x in common.ODD if x[0] is not None}
     once = common.odd(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
