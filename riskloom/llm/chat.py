@@ -6,8 +6,11 @@ declarative mappings, which say where the turns are. The turns of a record are t
 rendered by a template that marks each turn and escapes its own control strings inside
 the texts, so that roles and texts can be read back from the output.
 
-Turns are rendered row by row before anything is gathered by conversation; a conversation
-becomes one row in the end, as its output is one string. DataFrame functions only.
+Turns are rendered row by row, sorted over range partitions, and gathered in chunks of at
+most CHUNK turns, so a conversation of any number of turns is spread over many rows and tasks;
+a chunk's place in its conversation comes from sums within a partition and sums of whole
+partitions. Only `format_conversations` and the digests make one string of a conversation (up
+to the 2 GB that a string can hold), in time linear in its turns. DataFrame functions only.
 
 Defined cases: null texts and null roles are empty; a record of unknown layout gives one
 row without position; rows of one conversation go by (order, role, text), nulls
@@ -19,11 +22,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.batches import quoted
+from riskloom.session import cut_lineage
 
+CHUNK_BITS = 6
+CHUNK = 1 << CHUNK_BITS
 OPEN, BREAK, CLOSE, ESCAPE = "<|", "|>", "<|end|>", "\\"
 TURN = "struct<role: string, text: string>"
 
@@ -124,26 +130,45 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), name, F.lit(BREAK), escaped(text), F.lit(CLOSE))
 
 
-def format_conversations(turns: DataFrame, id_col: str, order_cols: list[str], trained: str = "assistant") -> DataFrame:
-    """One row per conversation: its id, `formatted`, and `loss_spans` (start, length) of the trained texts in it.
+def in_chunks(turns: DataFrame, id_col: str, order_cols: list[str], trained: str = "assistant") -> DataFrame:
+    """Conversations as rows of at most CHUNK turns: the id, `chunk` (ascending within a conversation), `start`, `formatted`, `loss_spans`.
 
-    `turns` has the columns role and text; both spans count code points from 0.
+    `turns` has the columns role and text. `start` is the chunk's place in the conversation's whole string, and the spans
+    (start, length) of the trained texts are places there, too; all count code points from 0.
     """
-    piece = F.struct(*[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(order_cols)], F.col("role"), F.col("text"),
-                     rendered(F.col("role"), F.col("text")).alias("piece"))
-    own = turns.select(F.col(quoted(id_col)).alias("__id"), piece.alias("p"))
-    gathered = own.groupBy("__id").agg(F.array_sort(F.collect_list("p")).alias("p"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start: bigint, length: bigint>>").alias("spans"))
+    keys = ["__id", *(f"o{i}" for i in range(len(order_cols))), "role", "text"]
+    own = turns.select(F.col(quoted(id_col)).alias("__id"), *[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(order_cols)], "role", "text")
+    dealt = own.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    at = F.monotonically_increasing_id()  # partition above bit 33, row below
+    placed = cut_lineage(dealt.select("__id", at.alias("at"), (F.col("role") == trained).alias("trained"),
+                                      F.length(escaped(F.col("text"))).cast("long").alias("body"), rendered(F.col("role"), F.col("text")).alias("piece")))
+    placed = placed.select("*", F.shiftright("at", 33).alias("part"), F.shiftright("at", CHUNK_BITS).alias("chunk"), F.length("piece").cast("long").alias("length"))
+
+    sizes = placed.groupBy("__id", "part", "chunk").agg(F.sum("length").alias("length"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.groupBy("__id", "part").agg(F.sum("length").alias("length"))  # a row per conversation and partition
+    parts = parts.select(F.col("__id").alias("id"), F.col("part").alias("in"), F.sum("length").over(before.partitionBy("__id").orderBy("part")).alias("ahead"))
+    inside = sizes.withColumn("own", F.sum("length").over(before.partitionBy("__id", "part").orderBy("chunk")))
+    starts = (inside.join(parts, F.col("__id").eqNullSafe(F.col("id")) & (F.col("part") == F.col("in")))
+              .select("id", F.col("chunk").alias("of"), (F.coalesce("ahead", F.lit(0)) + F.coalesce("own", F.lit(0))).alias("start")))
+
+    gathered = placed.groupBy("__id", "chunk").agg(F.array_sort(F.collect_list(F.struct("at", "trained", "body", "length", "piece"))).alias("p"))
+    chunks = gathered.join(starts, F.col("__id").eqNullSafe(F.col("id")) & (F.col("chunk") == F.col("of")))
 
     def step(state: Column, p: Column) -> Column:
-        length = F.length(p["piece"]).cast("long")
-        body = F.length(escaped(p["text"])).cast("long")
-        span = F.struct((state["at"] + length - body - len(CLOSE)).alias("start"), body.alias("length"))
-        return F.struct((state["at"] + length).alias("at"),
-                        F.when(p["role"] == trained, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+        span = F.struct((state["at"] + p["length"] - p["body"] - len(CLOSE)).alias("start"), p["body"].alias("length"))
+        return F.struct((state["at"] + p["length"]).alias("at"), F.when(p["trained"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+
+    first = F.struct(F.col("start").alias("at"), F.array().cast("array<struct<start: bigint, length: bigint>>").alias("spans"))
+    return chunks.select(F.col("__id").alias(id_col), "chunk", "start", F.concat_ws("", F.transform("p", lambda p: p["piece"])).alias("formatted"),
+                         F.aggregate("p", first, step)["spans"].alias("loss_spans"))
 
-    return gathered.select(F.col("__id").alias(id_col), F.concat_ws("", F.transform("p", lambda p: p["piece"])).alias("formatted"),
-                           F.aggregate("p", start, step)["spans"].alias("loss_spans"))
+
+def format_conversations(turns: DataFrame, id_col: str, order_cols: list[str], trained: str = "assistant") -> DataFrame:
+    """One row per conversation: its id, `formatted`, and `loss_spans` (start, length) of the trained texts in it."""
+    chunks = in_chunks(turns, id_col, order_cols, trained)
+    whole = chunks.groupBy(F.col(quoted(id_col)).alias("__id")).agg(F.array_sort(F.collect_list(F.struct("chunk", "formatted", "loss_spans"))).alias("p"))
+    return whole.select(F.col("__id").alias(id_col), F.concat_ws("", F.col("p.formatted")).alias("formatted"), F.flatten("p.loss_spans").alias("loss_spans"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -164,10 +189,15 @@ def masked_text(formatted: Column, spans: Column) -> Column:
 
 
 def digest(formatted: DataFrame, id_col: str) -> DataFrame:
-    """What can be read back from formatted conversations."""
-    turns = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
-    read = formatted.select(F.col(quoted(id_col)), "formatted", read_back(F.col("formatted")).alias("turns"),
-                            masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
-    return read.select(quoted(id_col), F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
-                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                       F.length("formatted").cast("long").alias("formatted_chars"))
+    """What can be read back from formatted conversations, whole or in chunks."""
+    if "chunk" not in formatted.columns:
+        formatted = formatted.select("*", F.lit(0).alias("chunk"), F.lit(0).alias("start"))
+    own = F.transform("loss_spans", lambda s: F.struct((s["start"] - F.col("start")).alias("start"), s["length"].alias("length")))
+    read = formatted.select(F.col(quoted(id_col)).alias("__id"), "chunk", F.length("formatted").cast("long").alias("chars"),
+                            read_back(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), own).alias("loss"))
+    text = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    parts = read.select("__id", F.struct("chunk", text.alias("text"), "loss").alias("p"), F.size("turns").cast("long").alias("n"), F.length("loss").cast("long").alias("m"), "chars")
+    whole = parts.groupBy("__id").agg(F.sum("n").alias("n_turns"), F.sum("m").alias("loss_chars"), F.sum("chars").alias("formatted_chars"),
+                                      F.array_sort(F.collect_list("p")).alias("p"))
+    return whole.select(F.col("__id").alias(id_col), "n_turns", F.sha2(F.concat_ws("", F.col("p.text")), 256).alias("turns_sha256"),
+                        "loss_chars", F.sha2(F.concat_ws("", F.col("p.loss")), 256).alias("loss_sha256"), "formatted_chars")

@@ -131,6 +131,29 @@ def test_chat_query_against_sql(spark):
     assert sorted(map(tuple, queries.conversations(spark, FOLDER).collect())) == wanted
 
 
+def test_long_conversations_go_in_chunks(spark):
+    """One conversation with most of all rows, one of a single turn, one without an id, repeated turns; extra columns clash."""
+    long = spark.range(100_000).select(F.lit(1).cast("long").alias("id"), F.col("id").alias("o"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                       F.concat(F.lit("<|"), F.col("id").cast("string"), F.lit("\\𝄞")).alias("text"))
+    others = spark.createDataFrame([(2, 0, "assistant", "x"), (None, 0, "user", "a"), (None, 0, "user", "a"), (None, None, "assistant", "b")], "id long, o long, role string, text string")
+    turns = long.unionByName(others).repartition(7).selectExpr("*", "'clash' as chunk", "'clash' as start", "'clash' as part", "'clash' as formatted")
+    chunks = chat.in_chunks(turns, "id", ["o"]).cache()
+    found = {r.id: r for r in chat.digest(chunks, "id").collect()}
+    texts = [f"<|{i}\\𝄞" for i in range(100_000)]
+    trained = "".join(texts[1::2])
+    assert found[1].n_turns == 100_000 and found[1].turns_sha256 == common.sha("".join(f"{('user', 'assistant')[i % 2]}\n{t}\n" for i, t in enumerate(texts)))
+    assert found[1].loss_chars == len(trained) and found[1].loss_sha256 == common.sha(trained)
+    assert found[None].turns_sha256 == common.sha("assistant\nb\nuser\na\nuser\na\n") and found[None].loss_chars == 1 and found[2].n_turns == 1
+    rows = sorted((r for r in chunks.where("id = 1").collect()), key=lambda r: r.chunk)
+    whole = "".join(r.formatted for r in rows)
+    assert max(r.formatted.count(chat.CLOSE) for r in rows) <= chat.CHUNK and [r.start for r in rows] == [0, *np.cumsum([len(r.formatted) for r in rows])[:-1]]
+    spans = [whole[s.start : s.start + s.length] for r in rows for s in r.loss_spans]
+    assert spans == [t.replace("\\", "\\\\").replace("<|", "<\\|") for t in texts[1::2]]
+    one = chat.format_conversations(turns.where("id = 1"), "id", ["o"]).first()
+    assert one.formatted == whole and len(one.loss_spans) == 50_000
+    chunks.unpersist()
+
+
 # 4 pieces
 
 
