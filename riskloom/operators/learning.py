@@ -18,9 +18,8 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numbers import micro
 from riskloom.functions.rowwise import number
-from riskloom.operators import logistic
+from riskloom.operators import isotonic, logistic
 from riskloom.operators.ranking import exact_quantiles
 from riskloom.operators.split import class_weights, part_number
 from riskloom.schema import CATEGORICAL, ID, NUMERIC, TARGET
@@ -152,7 +151,7 @@ class CalibratedModel:
         parts = []
         for i, (model, curve) in enumerate(self.pairs):
             name = f"_part{i}"
-            df = model.transform(df).select(*kept, *parts, micro(probability()).alias("_score"))
+            df = model.transform(df).select(*kept, *parts, probability().alias("_score"))
             df = curve.transform(df).select(*kept, *parts, F.col("_calibrated").alias(name))
             parts.append(F.col(name))
         mean = sum(parts[1:], parts[0]) / F.lit(float(len(parts)))
@@ -160,17 +159,16 @@ class CalibratedModel:
 
 
 def fit_isotonic(scored: DataFrame, score: str = "_score"):
-    """Monotone curve from score to observed rate.
+    """Monotone curve from score to observed rate, on unrounded scores.
 
-    The curve's resolution is six decimals: scores are counted at that many before
-    the fit and are read at that many by `CalibratedModel`, so at most a million
-    weighted points are fitted whatever the size of the fold. Equal scores are
-    pooled by isotonic regression anyway.
+    Pooling runs over ranges of scores (`isotonic.pooled`). MLlib's regression is then fitted on the two ends of each
+    block, where nothing is left to pool; it is what saves, loads and interpolates the curve, so the driver holds the
+    blocks and no other rows.
     """
-    points = scored.groupBy(micro(F.col(score)).alias("_score")).agg(
-        F.avg(TARGET).alias("_rate"), F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    blocks = isotonic.pooled(scored, score, TARGET)
+    end = lambda at: F.struct(F.col(at).alias("_score"), (F.col("hits") / F.col("n")).alias("_rate"), (F.col("n") / 2.0).alias(WEIGHT))
     return IsotonicRegression(featuresCol="_score", labelCol="_rate", weightCol=WEIGHT,
-                              predictionCol="_calibrated").fit(points)
+                              predictionCol="_calibrated").fit(blocks.select(F.inline(F.array(end("low"), end("high")))))
 
 
 def fit_calibrated(train: DataFrame, name: str, parts: int = 3,

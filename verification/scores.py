@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import association, drift, explain, metrics, portfolio, resample, scoring
+from riskloom.operators import association, drift, explain, isotonic, metrics, portfolio, resample, scoring
 from riskloom.operators.neighbours import nearest_neighbours
 from riskloom.operators.split import class_weights, split_summary, stratified_split
 from riskloom.operators.learning import fit_preprocessor, medians
@@ -54,6 +54,17 @@ register("m7_full_metrics", lambda s, d: six(metrics.full_metrics(two_models(s,
 register("m8_curve_points", lambda s, d: six(metrics.curve_points(two_models(s, d), "p", "y", MODEL_KEY)),
          _with(MODELS, f"""SELECT model, p AS score, {sql_six("fp / nn")} AS fpr, {sql_six("tp / np")} AS tpr,
          {sql_six("tp / (tp + fp)")} AS "precision", {sql_six("tp / np")} AS recall FROM pts"""))
+register("l16_isotonic_blocks", lambda s, d: six(isotonic.pooled(two_models(s, d), "p", "y", MODEL_KEY).withColumn(
+    "rate", F.col("hits") / F.col("n"))), _with(MODELS, f"""
+    , seen AS (SELECT model, p, COUNT(*) AS n, SUM(y)::BIGINT AS hits, row_number() OVER (PARTITION BY model ORDER BY p) AS i
+        FROM two GROUP BY model, p),
+    sums AS (SELECT *, SUM(n) OVER w AS cn, SUM(hits) OVER w AS ch FROM seen WINDOW w AS (PARTITION BY model ORDER BY i)),
+    -- the fitted value at i: the largest, over beginnings a <= i, of the smallest mean from a to some b >= i
+    spans AS (SELECT a.model, a.i AS a, b.i AS b, (b.ch - a.ch + a.hits) / (b.cn - a.cn + a.n)::DOUBLE AS mean FROM sums a JOIN sums b ON a.model = b.model AND a.i <= b.i),
+    least AS (SELECT model, a, b AS i, MIN(mean) OVER (PARTITION BY model, a ORDER BY b DESC) AS mean FROM spans),
+    fitted AS (SELECT model, i, MAX(mean) AS rate FROM least GROUP BY model, i)
+    SELECT model, {sql_six("MIN(p)")} AS low, {sql_six("MAX(p)")} AS high, SUM(n)::BIGINT AS n, SUM(hits)::BIGINT AS hits, {sql_six("MIN(rate)")} AS rate
+    FROM fitted JOIN seen USING (model, i) GROUP BY model, round(rate, 12)"""))
 register("m9_best_model", lambda s, d: six(metrics.best_model(metrics.rank_metrics(
     two_models(s, d), "p", "y", MODEL_KEY)).select("model", "selection_score")), _with(MODELS, f"""
     SELECT model, {sql_six("(roc_auc + pr_auc) / 2")} AS selection_score FROM ranks
