@@ -8,7 +8,7 @@ are partial aggregates on both sides of the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.schema import BILLS, MONTHS, PAYMENTS, STATUS, TARGET
@@ -20,9 +20,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def whole(x: Column) -> Column:
+    """The nearest whole number, halves away from zero, as `round` gives it but without its decimal objects."""
+    size = F.abs(x)
+    low = F.floor(size)
+    return F.when(x < 0, -low - (size - low >= 0.5).cast("long")).otherwise(low + (size - low >= 0.5).cast("long"))
+
+
 def _order_money(lines: DataFrame) -> DataFrame:
     """Sums in whole cents: exact in any order of addition, and plain long adds."""
-    price = F.round(F.col("l_extendedprice") * 100.0).cast("long")
+    price = whole(F.col("l_extendedprice") * 100.0)
     return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(F.when(F.col("l_returnflag") == "R", -price).otherwise(price)).alias("bill"),
         F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("paid"),

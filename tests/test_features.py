@@ -113,3 +113,21 @@ def test_risk_band_closes_on_its_threshold(spark):
     df = spark.createDataFrame([(v,) for v in [0.0, 0.1, 0.3, 0.30001, 0.6, 1.0]], "p double")
     assert [r[0] for r in df.select(B.risk_band(F.col("p"), cuts)).collect()] == [
         "Low Risk", "Low Risk", "Moderate Risk", "High Risk", "High Risk", "Very High Risk"]
+
+
+def test_whole_cents_equal_round(spark):
+    """Halves away from zero on both sides, at the last bit beside a half, and NULL."""
+    from riskloom.sources.panel import whole
+
+    values = [0.0, 0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 1234.4999999999998, 105000.00000000001,
+              -99.49999999999999, 4503599627370495.5, 9007199254740993.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select(whole(F.col("x")).alias("a"), F.round("x").cast("long").alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows]
+
+
+def test_wide_loops_are_split(spark):
+    """A stored table of 65 columns is read without one generated loop over all of them."""
+    from riskloom.session import prepare
+
+    assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 4000
