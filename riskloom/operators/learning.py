@@ -7,6 +7,7 @@ columns and the hyperparameters, not by the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,11 +28,19 @@ from riskloom.session import at_once
 
 SEED = 42
 WEIGHT = "_weight"
+#: sums of the nodes that a forest grows in one pass: so few that a core's cache holds them. More passes, each over
+#: kept rows, cost less than sums read from memory
+GROUP_MB = 4
+TASK_ROWS = 250_000
 
 
 def medians(train: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
-    """Exact median of the present values per column."""
-    return exact_quantiles(train, columns, [0.5]).select("feature", F.col("value").alias("median"))
+    """Exact median of the present values per column.
+
+    One quantile a column needs no narrow bracket, and a coarser sketch is a fifth of the
+    work of the single task that joins the partitions' sketches.
+    """
+    return exact_quantiles(train, columns, [0.5], accuracy=2000).select("feature", F.col("value").alias("median"))
 
 
 def numeric_statistics(train: DataFrame, columns: list[str] = NUMERIC) -> dict[str, tuple]:
@@ -95,7 +104,13 @@ def _weights(train: DataFrame, kind: str | None) -> tuple[Column, float]:
 def random_forest(trees: int = 300) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=TARGET, featuresCol="features", weightCol=WEIGHT, numTrees=trees, maxDepth=8,
-        minInstancesPerNode=20, seed=SEED)
+        minInstancesPerNode=20, maxMemoryInMB=GROUP_MB, seed=SEED)
+
+
+def evenly_dealt(rows: DataFrame, count: int) -> DataFrame:
+    """Rows in tasks of one size, a whole number of rounds of the cluster's cores: a level of a tree waits for its longest task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, math.ceil(count / (cores * TASK_ROWS))))
 
 
 def gradient_boosting(rounds: int = 300) -> GBTClassifier:
@@ -114,8 +129,9 @@ def fit_classifier(encoded: DataFrame, name: str, weighting: str | None, c: floa
     weighted = encoded.withColumn(WEIGHT, weight)
     if name == "logistic_regression":
         return logistic.fit(weighted, TARGET, WEIGHT, total, c)
-    estimator = random_forest() if name == "random_forest" else gradient_boosting()
-    return estimator.fit(weighted)
+    if name == "random_forest":
+        return random_forest().fit(evenly_dealt(weighted, encoded.count()))
+    return gradient_boosting().fit(weighted)
 
 
 WEIGHTING = {

@@ -166,3 +166,13 @@ def test_studies_say_what_they_could_not_run(train, test, prep):
     assert not rows["smote"]["ran"] and rows["smote"]["roc_auc"] is None and "4 minority rows" in rows["smote"]["reason"]
     again = {r["strategy"]: r for r in training.balanced_retraining(few, test, ["logistic_regression"], prep).collect()}
     assert again["none (baseline)"]["ran"] and not again["synthetic_balanced"]["ran"]
+
+
+def test_forest_rows_are_dealt_evenly(spark):
+    """Whole rounds of the cores, whatever the files of the fold."""
+    cores = spark.sparkContext.defaultParallelism
+    for rows, rounds in ((1000, 1), (learning.TASK_ROWS * cores + 1, 2)):
+        dealt = learning.evenly_dealt(spark.range(0, 1000, 1, 3), rows)
+        sizes = dealt.rdd.glom().map(len).collect()
+        assert len(sizes) == cores * rounds and sum(sizes) == 1000
+        assert max(sizes) <= 1000 / len(sizes) + 3
