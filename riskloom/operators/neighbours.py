@@ -11,7 +11,8 @@ if the triangle inequality leaves room for a nearer row:
 * for none of several reference pivots the block's span of distances is farther from the
   row's distance than the radius.
 
-Blocks meet as whole packed rows, so a pair of blocks is one matrix product; a product only
+Blocks meet as whole packed rows, so a pair of blocks is one matrix product; blocks travel in tiles, so
+that what is shuffled grows with the pairs of tiles. A product only
 selects, distances come from differences. A visit returns at most k rows for a row, and no row
 is left out: every skipped block is proven to hold no nearer one. Rows that lie evenly in many
 dimensions leave little to skip; the work is then that of all pairs of blocks.
@@ -40,6 +41,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 4096
 #: pivots at most, rows they are chosen from, and how many of them bound a block from all sides
 PIVOTS, SAMPLE_ROWS, REFERENCES = 256, 8192, 16
+#: blocks that meet blocks of another tile in one task, at most
+TILE_BLOCKS = 32
 #: products of two blocks are formed for this many rows at once
 _CHUNK = 512
 #: rounding may move a computed distance by this share of the largest vector's length
@@ -243,30 +246,57 @@ def block_pairs(blocks: DataFrame, pivots: Pivots, radii: np.ndarray) -> DataFra
         F.col("caller") != F.col("target")).select("caller", "target")
 
 
+def _tiles(blocks: DataFrame) -> DataFrame:
+    """(block, tile): neighbouring balls and rings share a tile of at most TILE_BLOCKS full blocks, an eighth of the rows if that is less."""
+    sizes = blocks.select("block", "ball", "ring", "n")  # one short row per block
+    rows = sizes.agg(F.sum("n")).first()[0] or 1
+    before = Window.orderBy("ball", "ring", "block").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / F.lit(min(TILE_BLOCKS * BLOCK_ROWS, math.ceil(rows / 8)))).alias("tile"))
+
+
 def _across(pairs: DataFrame, blocks: DataFrame, pivots: Pivots, radii: np.ndarray, k: int) -> DataFrame:
+    """Neighbours found in other blocks. Blocks travel once per pair of tiles, not once per pair of blocks,
+    and a row leaves a pair of tiles with its k best there."""
     schema = pa.schema([("ID", pa.int64()), ("neighbour", pa.int64()), ("distance", pa.float64())])
     references = pivots.centres[:REFERENCES]
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, x = _unpack(batch.column(0)[i], batch.column(1)[i])
-                reach = _bounded(np.frombuffer(batch.column(2)[i].as_buffer(), "float64"), x, pivots, radii)
-                low, high = (np.array(batch.column(c)[i].as_py()) for c in (5, 6))
-                away = distances(x, references)
-                apart = np.maximum(low - away, away - high).max(axis=1)
-                near = np.flatnonzero(apart <= reach)
+    def meet(callers: pa.Table, targets: pa.Table) -> pa.Table:
+        others = {}
+        for i in range(targets.num_rows):
+            span = tuple(np.array(targets[c][i].as_py()) for c in ("t_low", "t_high"))
+            others[targets["t_block"][i].as_py()] = (*_unpack(targets["t_ids"][i], targets["t_x"][i]), *span)
+        tables = []
+        for i in range(callers.num_rows):
+            ids, x = _unpack(callers["ids"][i], callers["x"][i])
+            reach = _bounded(np.frombuffer(callers["reach"][i].as_buffer(), "float64"), x, pivots, radii)
+            away = distances(x, references)
+            row, neighbour, gap = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            for target in sorted(callers["targets"][i].as_py()):
+                other, y, low, high = others[target]
+                near = np.flatnonzero(np.maximum(low - away, away - high).max(axis=1) <= reach)
                 if not len(near):
                     continue
-                other, y = _unpack(batch.column(3)[i], batch.column(4)[i])
-                row, neighbour, gap = closest(ids[near], x[near], other, y, k, reach[near])
-                if len(row):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[near][row]), pa.array(neighbour), pa.array(gap)], schema=schema)
-
-    callers = blocks.select(F.col("block").alias("caller"), "ids", "x", "reach")
-    targets = blocks.select(F.col("block").alias("target"), F.col("ids").alias("t_ids"), F.col("x").alias("t_x"), "low", "high")
-    met = pairs.join(callers, "caller").join(targets, "target")
-    return met.select("ids", "x", "reach", "t_ids", "t_x", "low", "high").mapInArrow(meet, _FOUND)
+                found, ID, distance = closest(ids[near], x[near], other, y, k, reach[near])
+                row, neighbour, gap = np.r_[row, near[found]], np.r_[neighbour, ID], np.r_[gap, distance]
+                order = np.lexsort((neighbour, gap, row))
+                row, neighbour, gap = row[order], neighbour[order], gap[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                last = place == k - 1
+                reach[row[last]] = np.minimum(reach[row[last]], gap[last] + pivots.slack)
+                row, neighbour, gap = row[place < k], neighbour[place < k], gap[place < k]
+            tables.append(pa.Table.from_arrays([pa.array(ids[row]), pa.array(neighbour), pa.array(gap)], schema=schema))
+        return pa.concat_tables(tables) if tables else schema.empty_table()
+
+    tiles = _tiles(blocks)
+    calls = cut_lineage(pairs.join(tiles.select(F.col("block").alias("caller"), F.col("tile").alias("c_tile")), "caller").join(
+        tiles.select(F.col("block").alias("target"), F.col("tile").alias("t_tile")), "target"))
+    lists = calls.groupBy("c_tile", "t_tile", "caller").agg(F.collect_list("target").alias("targets"))  # the blocks of one tile
+    callers = lists.join(blocks.select(F.col("block").alias("caller"), "ids", "x", "reach"), "caller")
+    # the two sides come from the same tables, so the columns of one are named anew
+    targets = calls.select(F.col("c_tile").alias("to_c"), F.col("t_tile").alias("to_t"), F.col("target").alias("t_block")).distinct().join(
+        blocks.select(F.col("block").alias("t_block"), F.col("ids").alias("t_ids"), F.col("x").alias("t_x"),
+                      F.col("low").alias("t_low"), F.col("high").alias("t_high")), "t_block")
+    return callers.groupBy("c_tile", "t_tile").cogroup(targets.groupBy("to_c", "to_t")).applyInArrow(meet, _FOUND)
 
 
 def nearest_neighbours(vectors: DataFrame, k: int = 5, rows_per_block: int = BLOCK_ROWS) -> DataFrame:

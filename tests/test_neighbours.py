@@ -106,3 +106,18 @@ def test_generator_keeps_mean_and_spread(spark):
     assert summary["ran"] and summary["recon_mse"] < 1e-6 and len(made) == 4000
     assert np.allclose(made.mean(axis=0), x.mean(axis=0), atol=0.2)
     assert np.allclose(made.std(axis=0), x.std(axis=0), rtol=0.1)
+
+
+def test_blocks_travel_once_per_pair_of_tiles(spark):
+    """What the cogroup gets is a block per tile it meets, not one per block it meets; results as by brute force."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(640, 6))
+    rows = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "ID long, x array<double>")
+    found = {}
+    for r in neighbours.nearest_neighbours(rows, 5, 10).orderBy("ID", "rank").collect():
+        found.setdefault(r["ID"], []).append(r["neighbour"])
+    assert found == brute_force(x, 5)
+    blocks = neighbours.pack_blocks(rows, 5, 10, neighbours.fit_pivots(rows, 10))
+    tiles = neighbours._tiles(blocks)
+    assert blocks.count() > 40 and tiles.select("block").distinct().count() == blocks.count()
+    assert tiles.select("tile").distinct().count() <= 9
