@@ -7,6 +7,7 @@ from riskloom.operators import drift
 from riskloom.operators.metrics import full_metrics
 from riskloom.session import scratch_path
 from riskloom.streaming import history, monitoring
+from verification import streams
 
 SCHEMA = "ts timestamp, p double, y int, risk_band string, predicted_pd double, actual_default int"
 BANDS = ["Low", "Moderate", "High"]
@@ -91,3 +92,18 @@ def test_newest_windows_tell_open_ones(spark, rows):
     history.run_upserts(monitoring.window_counts(stream, "ts", "p", [0.5]), sink, scratch_path(spark, "progress"), "update")
     newest = monitoring.newest_windows(spark.read.parquet(sink)).orderBy("window_start").collect()
     assert [r["open"] for r in newest] == [0] * 5 + [1] and sum(r["n"] for r in newest) == 1200
+
+
+def test_a_replayed_period_is_read_by_many_tasks(spark, monkeypatch):
+    """The files of a period grow with its rows, and a batch takes the files of one period."""
+    folder = "/root/testdata/sf0.01"
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    landed = streams._replayed_periods(spark, folder)()
+    sink = scratch_path(spark, "sink")
+    history.run_upserts(landed.select("period", F.input_file_name().alias("file"), "ID"), sink, scratch_path(spark, "progress"))
+    batches = spark.read.parquet(sink).groupBy("number").agg(
+        F.countDistinct("period").alias("periods"), F.countDistinct("file").alias("files"), F.count("*").alias("n")).collect()
+    whole = streams.monitored(spark, folder).groupBy("period").count().collect()
+    files = min(r["count"] for r in whole) // 10
+    assert files > 1 and [(r["periods"], r["files"]) for r in batches] == [(1, files)] * 4
+    assert sorted(r["n"] for r in batches) == sorted(r["count"] for r in whole)

@@ -109,15 +109,21 @@ def st2_sliding(spark, d):
     return six(rows.select("window_start", "n", "psi", "open")).withColumn("window_start", monitoring.utc_day("window_start"))
 
 
+#: rows in a file of a replayed period; a file is read by one task
+FILE_ROWS = 10_000
+
+
 def _replayed_periods(spark, d):
-    """The scored test fold as a stream: a day per monitoring period, in files that arrive one by one."""
+    """The scored test fold as a stream: a day per monitoring period; periods arrive one by one, each in files of its own."""
     folder = scratch_path(spark, "periods")
     day = F.timestamp_micros(F.lit(1704067200_000000) + F.col("period").cast("long") * 86400_000000 + F.col(ID) % 86400 * 1_000_000)
     landed = six_features(monitored(spark, d)).withColumn("ts", day)
+    sizes = {r["period"]: r["count"] for r in monitored(spark, d).groupBy("period").count().collect()}  # four rows
+    files = max(1, min(sizes.values(), default=0) // FILE_ROWS)
     for period in range(1, 5):
-        landed.filter(F.col("period") == period).coalesce(1).write.mode("append").parquet(folder)
+        landed.filter(F.col("period") == period).repartition(files).write.mode("append").parquet(folder)
     schema = spark.read.parquet(folder).schema
-    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def d7_stream(spark, d):
