@@ -176,3 +176,14 @@ def test_forest_rows_are_dealt_evenly(spark):
         sizes = dealt.rdd.glom().map(len).collect()
         assert len(sizes) == cores * rounds and sum(sizes) == 1000
         assert max(sizes) <= 1000 / len(sizes) + 3
+
+
+def test_both_tree_fits_deal_their_rows(train, prep, monkeypatch):
+    dealt, whole = [], learning.evenly_dealt
+    monkeypatch.setattr(learning, "evenly_dealt", lambda rows, count: dealt.append(count) or whole(rows, count))
+    monkeypatch.setattr(learning, "gradient_boosting", lambda make=learning.gradient_boosting: make(2))
+    monkeypatch.setattr(learning, "random_forest", lambda make=learning.random_forest: make(2))
+    rows = learning.encode(prep, train)
+    for name in ("random_forest", "gradient_boosting"):
+        learning.fit_classifier(rows, name, "balanced")
+    assert dealt == [rows.count()] * 2
