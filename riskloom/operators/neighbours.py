@@ -6,14 +6,15 @@ itself, which bounds each row's search radius. A row then has to look into anoth
 if the triangle inequality leaves room for a nearer row:
 
 * the ring's distances to its pivot come within the radius of the row's own distance;
-* the row is not farther from the other pivot than from its own by more than two radii
-  (every row of a ball is nearest to its pivot);
+* the plane half way between its own pivot and the other one comes within the radius
+  (every row of a ball is nearest to its pivot, so a ball lies on its pivot's side);
 * for none of several reference pivots the block's span of distances is farther from the
-  row's distance than the radius.
+  row's distance than the radius;
+* the box around the block's rows comes within the radius.
 
 Blocks meet as whole packed rows, so a pair of blocks is one matrix product; blocks travel in tiles, so
 that what is shuffled grows with the pairs of tiles. A product only
-selects, distances come from differences. A visit returns at most k rows for a row, and no row
+selects, in single precision with its error bound added, distances come from differences. A visit returns at most k rows for a row, and no row
 is left out: every skipped block is proven to hold no nearer one. Rows that lie evenly in many
 dimensions leave little to skip; the work is then that of all pairs of blocks.
 
@@ -80,10 +81,16 @@ def choose_pivots(x: np.ndarray, count: int, rounds: int = 5) -> np.ndarray:
     return np.unique(centres, axis=0)
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            x = _matrix(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int64()), pa.array([np.einsum("ij,ij->i", x, x).max()])], names=["rows", "longest"])
+
+
 def fit_pivots(vectors: DataFrame, rows_per_block: int, sample_rows: int = SAMPLE_ROWS) -> Pivots:
     """Pivots from a hash sample of bounded size; as many as there are blocks, at most PIVOTS."""
-    length = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
-    rows, longest = vectors.agg(F.count(F.lit(1)), F.max(length)).first()
+    rows, longest = vectors.select("x").mapInArrow(_lengths, "rows long, longest double").agg(F.sum("rows"), F.max("longest")).first()
     if not rows:
         return Pivots(np.zeros((1, 1)), np.ones(1), 0.0)
     share = min(1.0, sample_rows / rows)
@@ -125,35 +132,91 @@ def _place(vectors: DataFrame, pivots: Pivots) -> DataFrame:
     return vectors.mapInArrow(run, "ID long, x array<double>, ball int, ring long")
 
 
-def closest(ids, x, other_ids, y, k: int, reach=None, same: bool = False):
-    """Rows of `y` among the k nearest of each row of `x`, within `reach`: (row of x, ID, distance), ties by ID.
+@dataclass(frozen=True)
+class Targets:
+    """Rows to search in: as they are, and for single products moved to their centre, with two more entries a column."""
+
+    ids: np.ndarray
+    x: np.ndarray
+    centre: np.ndarray
+    columns: np.ndarray
+    length: float
+
+    @classmethod
+    def of(cls, ids: np.ndarray, x: np.ndarray) -> Targets:
+        with np.errstate(all="ignore"):
+            centre = x.mean(axis=0)
+            moved = (x - centre).T
+            square = (moved ** 2).sum(axis=0)
+            columns = np.vstack([moved, -square / 2, np.ones(len(x))]).astype("float32")
+        return cls(ids, x, centre, columns, math.sqrt(square.max(initial=0)))
+
+    def scores(self, part: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Per pair half of (reach^2 - distance^2), raised by the bound of its rounding, and that bound per row;
+        None where single numbers don't hold the values."""
+        with np.errstate(all="ignore"):
+            moved = part - self.centre
+            square = (moved ** 2).sum(axis=1)
+            far = np.sqrt(square) + self.length
+            if len(far) and not (far.min() > 1e-12 and far.max() < 1e15):
+                return None
+            reach = np.minimum(reach, far)
+            error = (part.shape[1] + 8) * 2.0 ** -23 * (far ** 2 + reach ** 2)
+            rows = np.column_stack([moved, np.ones(len(part)), (reach ** 2 - square) / 2 + error]).astype("float32")
+        return rows @ self.columns, error
+
+
+def _candidates(part: np.ndarray, targets: Targets, k: int, reach: np.ndarray, own: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of every pair within `reach` that may be among the k nearest of its row; `own` is the column of the first row itself."""
+    diagonal = (np.arange(len(part)), np.arange(len(part)) + (own or 0))
+    width = len(targets.ids)
+    made = targets.scores(part, reach)
+    if made is not None:
+        score, error = made
+        if own is not None:
+            score[diagonal] = -np.inf
+        hit = score >= 0
+        if width > k and np.count_nonzero(hit) > 4 * k * len(part):
+            hit &= score >= (np.partition(score, width - k, axis=1)[:, width - k] - 2 * error).astype("float32")[:, None]
+        return np.divmod(np.flatnonzero(hit), width)
+    gap = distances(part, targets.x)
+    if own is not None:
+        gap[diagonal] = np.inf
+    slack = 1e-7 * math.sqrt(max((part ** 2).sum(axis=1).max(initial=0), (targets.x ** 2).sum(axis=1).max(initial=0))) + 1e-12
+    if width > k:
+        reach = np.minimum(reach, np.partition(gap, k - 1, axis=1)[:, k - 1])
+    return np.nonzero((gap <= (reach + slack)[:, None]) & np.isfinite(gap))
+
+
+def closest(x: np.ndarray, targets: Targets, k: int, reach: np.ndarray | None = None, same: bool = False):
+    """Targets among the k nearest of each row of `x`, within `reach`: (row of x, ID, distance), ties by ID.
 
     Products pick the candidates, a little more than needed; their distances are then
     computed from differences, so equal vectors get exactly equal distances.
     """
     found = []
-    slack = 1e-7 * math.sqrt(max((x ** 2).sum(axis=1).max(initial=0), (y ** 2).sum(axis=1).max(initial=0))) + 1e-12
-    for start in range(0, len(ids), _CHUNK):
+    for start in range(0, len(x), _CHUNK):
         part = x[start:start + _CHUNK]
-        gap = distances(part, y)
-        if same:
-            gap[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
-        limit = np.full(len(part), np.inf) if reach is None else reach[start:start + _CHUNK].copy()
-        if gap.shape[1] > k:
-            limit = np.minimum(limit, np.partition(gap, k - 1, axis=1)[:, k - 1])
-        row, column = np.nonzero((gap <= (limit + slack)[:, None]) & np.isfinite(gap))
+        limit = np.full(len(part), np.inf) if reach is None else reach[start:start + _CHUNK]
+        row, column = _candidates(part, targets, k, limit, start if same else None)
         exact = np.empty(len(row))
         for some in range(0, len(row), 1 << 16):
             piece = slice(some, some + (1 << 16))
-            exact[piece] = np.sqrt(((part[row[piece]] - y[column[piece]]) ** 2).sum(axis=1))
-        order = np.lexsort((other_ids[column], exact, row))
-        row, column, exact = row[order], column[order], exact[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = place < k
-        found.append((row[keep] + start, other_ids[column[keep]], exact[keep]))
+            exact[piece] = np.sqrt(((part[row[piece]] - targets.x[column[piece]]) ** 2).sum(axis=1))
+        ids = targets.ids[column]
+        keep, row = _best(row, ids, exact, k)
+        found.append((row + start, ids[keep], exact[keep]))
     return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, "int64"), np.zeros(0))
 
 
+def _best(row: np.ndarray, ids: np.ndarray, gap: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the k nearest of each row, ties by ID, in that order, and their rows."""
+    order = np.lexsort((ids, gap, row))
+    row = row[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return order[keep], row[keep]
+
+
 _PACKED = "block long, ball int, ring long, n int, ids binary, x binary, reach binary, low array<double>, high array<double>, near array<struct<ID:long,neighbour:long,distance:double>>"
 
 
@@ -171,7 +234,7 @@ def pack_blocks(vectors: DataFrame, k: int, rows_per_block: int, pivots: Pivots)
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by("ID")
         ids, x = table["ID"].to_numpy(), _matrix(table["x"])
-        row, near, gap = closest(ids, x, ids, x, k, same=True)
+        row, near, gap = closest(x, Targets.of(ids, x), k, same=True)
         full = np.bincount(row, minlength=len(ids)) >= k
         reach = np.full(len(ids), np.inf)
         last = np.searchsorted(row, np.arange(len(ids)), side="right") - 1
@@ -214,6 +277,16 @@ def _bounded(reach: np.ndarray, x: np.ndarray, pivots: Pivots, radii: np.ndarray
     return reach + pivots.slack
 
 
+def _planes(away: np.ndarray, home: int, pivots: Pivots) -> np.ndarray:
+    """Per row of the ball `home` and other ball: no row of that ball is nearer than this, the distance of the plane between
+    both pivots. A ball was told by rounded distances; what that may move the plane is taken off."""
+    apart = distances(pivots.centres[home:home + 1], pivots.centres)[0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        least = (away ** 2 - away[:, home:home + 1] ** 2 - 16 * pivots.slack * (pivots.longest + pivots.slack)) / (2 * apart)
+    least[:, ~(apart > 4 * pivots.slack)] = 0.0
+    return least
+
+
 def block_pairs(blocks: DataFrame, pivots: Pivots, radii: np.ndarray) -> DataFrame:
     """(caller, target) for every pair of blocks where some row of the caller may have a nearer row in the target."""
     spans = {r["ball"]: (r["low"], r["high"]) for r in blocks.groupBy("ball").agg(
@@ -227,8 +300,9 @@ def block_pairs(blocks: DataFrame, pivots: Pivots, radii: np.ndarray) -> DataFra
                 _, x = _unpack(batch.column(2)[i], batch.column(3)[i])
                 reach = _bounded(np.frombuffer(batch.column(4)[i].as_buffer(), "float64"), x, pivots, radii)
                 away = distances(x, pivots.centres)
+                least = _planes(away, home, pivots)
                 for ball, (low, high) in spans.items():
-                    near = (away[:, ball] - away[:, home]) / 2 <= reach
+                    near = least[:, ball] <= reach
                     first = np.floor(np.maximum(away[near, ball] - reach[near], 0) / pivots.widths[ball])
                     last = np.floor((away[near, ball] + reach[near]) / pivots.widths[ball])
                     first, last = np.clip(first, low, high + 1).astype(np.int64), np.clip(last, low - 1, high).astype(np.int64)
@@ -258,32 +332,44 @@ def _across(pairs: DataFrame, blocks: DataFrame, pivots: Pivots, radii: np.ndarr
     """Neighbours found in other blocks. Blocks travel once per pair of tiles, not once per pair of blocks,
     and a row leaves a pair of tiles with its k best there."""
     schema = pa.schema([("ID", pa.int64()), ("neighbour", pa.int64()), ("distance", pa.float64())])
-    references = pivots.centres[:REFERENCES]
 
     def meet(callers: pa.Table, targets: pa.Table) -> pa.Table:
         others = {}
         for i in range(targets.num_rows):
             span = tuple(np.array(targets[c][i].as_py()) for c in ("t_low", "t_high"))
-            others[targets["t_block"][i].as_py()] = (*_unpack(targets["t_ids"][i], targets["t_x"][i]), *span)
+            other = Targets.of(*_unpack(targets["t_ids"][i], targets["t_x"][i]))
+            others[targets["t_block"][i].as_py()] = (other, targets["t_ball"][i].as_py(), *span, other.x.min(axis=0), other.x.max(axis=0))
         tables = []
         for i in range(callers.num_rows):
             ids, x = _unpack(callers["ids"][i], callers["x"][i])
             reach = _bounded(np.frombuffer(callers["reach"][i].as_buffer(), "float64"), x, pivots, radii)
-            away = distances(x, references)
+            away = distances(x, pivots.centres)
+            least = _planes(away, callers["ball"][i].as_py(), pivots)
+            away = away[:, :REFERENCES]
             row, neighbour, gap = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-            for target in sorted(callers["targets"][i].as_py()):
-                other, y, low, high = others[target]
-                near = np.flatnonzero(np.maximum(low - away, away - high).max(axis=1) <= reach)
+            middle = x.mean(axis=0)
+            # the blocks nearby come first, they shorten the reach
+            for target in sorted(callers["targets"][i].as_py(), key=lambda t: ((others[t][0].centre - middle) ** 2).sum()):
+                other, ball, low, high, bottom, top = others[target]
+                near = np.flatnonzero(least[:, ball] <= reach)
+                near = near[np.maximum(low - away[near], away[near] - high).max(axis=1) <= reach[near]]
+                outside = np.maximum(np.maximum(bottom - x[near], x[near] - top), 0)
+                near = near[np.sqrt((outside ** 2).sum(axis=1)) <= reach[near]]
                 if not len(near):
                     continue
-                found, ID, distance = closest(ids[near], x[near], other, y, k, reach[near])
-                row, neighbour, gap = np.r_[row, near[found]], np.r_[neighbour, ID], np.r_[gap, distance]
-                order = np.lexsort((neighbour, gap, row))
-                row, neighbour, gap = row[order], neighbour[order], gap[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                last = place == k - 1
-                reach[row[last]] = np.minimum(reach[row[last]], gap[last] + pivots.slack)
-                row, neighbour, gap = row[place < k], neighbour[place < k], gap[place < k]
+                found, ID, distance = closest(x[near], other, k, reach[near])
+                if not len(found):
+                    continue
+                found = near[found]
+                touched = np.zeros(len(ids), bool)
+                touched[found] = True
+                old = touched[row]
+                new_row, new_ID, new_gap = np.r_[row[old], found], np.r_[neighbour[old], ID], np.r_[gap[old], distance]
+                keep, new_row = _best(new_row, new_ID, new_gap, k)
+                new_ID, new_gap = new_ID[keep], new_gap[keep]
+                last = np.arange(len(new_row)) - np.searchsorted(new_row, new_row) == k - 1
+                reach[new_row[last]] = np.minimum(reach[new_row[last]], new_gap[last] + pivots.slack)
+                row, neighbour, gap = np.r_[row[~old], new_row], np.r_[neighbour[~old], new_ID], np.r_[gap[~old], new_gap]
             tables.append(pa.Table.from_arrays([pa.array(ids[row]), pa.array(neighbour), pa.array(gap)], schema=schema))
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
@@ -291,10 +377,10 @@ def _across(pairs: DataFrame, blocks: DataFrame, pivots: Pivots, radii: np.ndarr
     calls = cut_lineage(pairs.join(tiles.select(F.col("block").alias("caller"), F.col("tile").alias("c_tile")), "caller").join(
         tiles.select(F.col("block").alias("target"), F.col("tile").alias("t_tile")), "target"))
     lists = calls.groupBy("c_tile", "t_tile", "caller").agg(F.collect_list("target").alias("targets"))  # the blocks of one tile
-    callers = lists.join(blocks.select(F.col("block").alias("caller"), "ids", "x", "reach"), "caller")
+    callers = lists.join(blocks.select(F.col("block").alias("caller"), "ball", "ids", "x", "reach"), "caller")
     # the two sides come from the same tables, so the columns of one are named anew
     targets = calls.select(F.col("c_tile").alias("to_c"), F.col("t_tile").alias("to_t"), F.col("target").alias("t_block")).distinct().join(
-        blocks.select(F.col("block").alias("t_block"), F.col("ids").alias("t_ids"), F.col("x").alias("t_x"),
+        blocks.select(F.col("block").alias("t_block"), F.col("ball").alias("t_ball"), F.col("ids").alias("t_ids"), F.col("x").alias("t_x"),
                       F.col("low").alias("t_low"), F.col("high").alias("t_high")), "t_block")
     return callers.groupBy("c_tile", "t_tile").cogroup(targets.groupBy("to_c", "to_t")).applyInArrow(meet, _FOUND)
 

@@ -121,3 +121,65 @@ def test_blocks_travel_once_per_pair_of_tiles(spark):
     tiles = neighbours._tiles(blocks)
     assert blocks.count() > 40 and tiles.select("block").distinct().count() == blocks.count()
     assert tiles.select("tile").distinct().count() <= 9
+
+
+def test_planes_between_pivots_leave_few_rows():
+    """Close groups without gaps between the balls: half the difference of two distances left many more rows to look at."""
+    draw = np.random.default_rng(11)
+    x = np.repeat(draw.normal(size=(300, 12)), 12, axis=0) + draw.normal(size=(3600, 12)) * 0.1
+    centres = neighbours.choose_pivots(x, 60)
+    pivots = neighbours.Pivots(centres, np.ones(len(centres)), float(np.sqrt((x ** 2).sum(axis=1)).max()))
+    away = neighbours.distances(x, centres)
+    ball = away.argmin(axis=1)
+    reach = np.partition(neighbours.distances(x, x), 6, axis=1)[:, 6]
+    planes = sum((neighbours._planes(away[ball == p], p, pivots) <= reach[ball == p, None]).sum() for p in np.unique(ball))
+    spheres = ((away - away.min(axis=1)[:, None]) / 2 <= reach[:, None]).sum()
+    assert planes < spheres / 2 and planes < 2 * len(x)
+
+
+def test_planes_never_lie_beyond_a_row():
+    draw = np.random.default_rng(12)
+    x = np.concatenate([draw.normal(size=(900, 3)), np.repeat(draw.normal(size=(30, 3)), 5, axis=0)])
+    centres = np.concatenate([neighbours.choose_pivots(x, 20), x[:1], x[:1] + 1e-9])
+    away = neighbours.distances(x, centres)
+    ball = away.argmin(axis=1)
+    pivots = neighbours.Pivots(centres, np.ones(len(centres)), float(np.sqrt((x ** 2).sum(axis=1)).max()))
+    gap = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    for home in np.unique(ball):
+        least = neighbours._planes(away[ball == home], home, pivots)
+        assert (least[:, home] <= 0).all()
+        for other in np.unique(ball):
+            assert (least[:, other] <= gap[ball == home][:, ball == other].min(axis=1) + 1e-12).all()
+
+
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1.0, 3e5), (1e-3, 1.0), (1e-20, 0.0), (1e30, 0.0), (1e-9, 1e4)])
+def test_products_in_single_precision_lose_no_neighbour(scale, offset):
+    """Against distances of all pairs: values of any size, far from zero, in steps that tie, and copies."""
+    draw = np.random.default_rng(13)
+    x = np.round(draw.normal(size=(700, 6)), 1)
+    x[600:] = x[:100]
+    x = x * scale + offset
+    ids = draw.permutation(len(x)).astype(np.int64)
+    targets = neighbours.Targets.of(ids, x)
+    gap = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    near, ID, distance = neighbours.closest(x, targets, 5)
+    order = np.array([np.lexsort((ids, g))[:5] for g in gap])
+    assert (ID.reshape(-1, 5) == ids[order]).all() and (distance.reshape(-1, 5) == np.take_along_axis(gap, order, 1)).all()
+    reach = np.quantile(gap, 0.02, axis=1)
+    within = neighbours.closest(x, targets, 5, reach)
+    for i in range(len(x)):
+        best = np.lexsort((ids, gap[i]))[:5]
+        assert set(ids[best[gap[i][best] <= reach[i]]]) <= set(within[1][within[0] == i])
+    np.fill_diagonal(gap, np.inf)
+    alone = neighbours.closest(x, targets, 5, same=True)[1].reshape(-1, 5)
+    assert (alone == ids[np.array([np.lexsort((ids, g))[:5] for g in gap])]).all()
+
+
+def test_few_pairs_leave_a_product():
+    """Far from the reach nothing is looked at twice, and many copies do not crowd out the nearest by ID."""
+    draw = np.random.default_rng(14)
+    x, y = draw.normal(size=(200, 8)), draw.normal(size=(900, 8)) + 30
+    assert len(neighbours._candidates(x, neighbours.Targets.of(np.arange(900), y), 5, np.full(200, 2.0), None)[0]) == 0
+    y = np.repeat(x[:1], 900, axis=0)
+    row, ID, distance = neighbours.closest(x[:3], neighbours.Targets.of(np.arange(900)[::-1].copy(), y), 5)
+    assert ID.reshape(3, 5).tolist() == [[0, 1, 2, 3, 4]] * 3 and (distance[:5] == 0).all()
